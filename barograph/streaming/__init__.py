@@ -1,0 +1,5 @@
+"""No streaming operators: the analytics are batch only.
+
+Decoding, derived features, row rules and hash splits are stateless projections
+and filters, so they also run on a streaming DataFrame as they are.
+"""
