@@ -16,6 +16,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes. A wide decoding
+    # projection in one generated method would run interpreted, several times
+    # slower than the same expressions split over smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -32,6 +36,13 @@ def build_session(app_name: str = "barograph", **overrides: str) -> SparkSession
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the session defaults to a session built elsewhere."""
+    for key, value in SESSION_DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

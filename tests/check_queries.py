@@ -63,7 +63,7 @@ def main() -> None:
     from pyspark.sql import SparkSession
 
     sf_dir, *names = sys.argv[1:]
-    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "8g")
              .config("spark.sql.shuffle.partitions", "8").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -128,12 +128,9 @@ def _plain(events: DataFrame) -> DataFrame:
         "event_id",
         F.when(every("event_id", 5), "M").when(every("event_id", 6), "")
         .when(every("event_id", 7), None).when(every("event_id", 8), "x,1")
-        .otherwise(F.format_string(
-            "%d.%d,1", F.expr("int(user_id % 40)"), F.expr("int(event_id % 10)"))).alias("TMP"),
-        F.format_string(
-            "%d.%d,1", F.expr("int(user_id % 20)"), F.expr("int(event_id % 10)")).alias("DEW"),
-        F.format_string(
-            "%d,1,N,%04d,1", F.expr("int(event_id % 360)"), F.expr("int(user_id % 90)")).alias("WND"))
+        .otherwise(F.expr("concat(user_id % 40, '.', event_id % 10, ',1')")).alias("TMP"),
+        F.expr("concat(user_id % 20, '.', event_id % 10, ',1')").alias("DEW"),
+        F.expr("concat(event_id % 360, ',1,N,00', lpad(string(user_id % 90), 2, '0'), ',1')").alias("WND"))
 
 
 @query(f"""WITH {_PLAIN_SQL}

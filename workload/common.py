@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barograph.session import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -27,9 +29,8 @@ class Registry:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; all queries read times as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, in a session with the package's settings."""
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:

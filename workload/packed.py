@@ -11,8 +11,15 @@ from pyspark.sql import functions as F
 from workload.common import every
 
 
-def _int(expr: str):
-    return F.expr(f"int({expr})")
+def digits(expr: str, width: int):
+    """Integer as text, padded with zeros to at least ``width`` digits."""
+    text = F.expr(f"string(int({expr}))")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
+def _signed(expr: str):
+    sign = F.when(F.expr(f"{expr} < 0"), "-").otherwise("+")
+    return F.concat(sign, digits(f"abs({expr})", 4), F.lit(",1"))
 
 
 def _when_else(condition, code, text):
@@ -21,34 +28,34 @@ def _when_else(condition, code, text):
 
 def packed_observations(events: DataFrame) -> DataFrame:
     x = "round(value * 10) - 400"
+    dew = f"({x} - event_id % 60 + 2)"
+
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
     return events.select(
         "event_id",
-        F.lpad(F.col("user_id").cast("string"), 5, "0").alias("STATION"),
+        digits("user_id", 5).alias("STATION"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("DATE"),
-        _when_else(every("event_id", 13), "abc", F.format_string(
-            "%d.%02d", _int("user_id % 90"), _int("user_id % 100"))).alias("LATITUDE"),
-        F.format_string(
-            "-%d.%02d", _int("user_id % 180"), _int("event_id % 100")).alias("LONGITUDE"),
-        F.format_string(
-            "%d.%d", _int("user_id * 7 % 2000"), _int("event_id % 10")).alias("ELEVATION"),
-        F.format_string("STATION %d", _int("user_id % 500")).alias("NAME"),
-        _when_else(every("event_id", 17), "+9999,9",
-                   F.format_string("%+05d,1", _int(x))).alias("TMP"),
-        _when_else(every("event_id", 7), "+9999,9",
-                   F.format_string("%+05d,1", _int(f"{x} - event_id % 60 + 2"))).alias("DEW"),
+        _when_else(every("event_id", 13), "abc", text(
+            digits("user_id % 90", 1), ".", digits("user_id % 100", 2))).alias("LATITUDE"),
+        text("-", digits("user_id % 180", 1), ".", digits("event_id % 100", 2)).alias("LONGITUDE"),
+        text(digits("user_id * 7 % 2000", 1), ".", digits("event_id % 10", 1)).alias("ELEVATION"),
+        text("STATION ", digits("user_id % 500", 1)).alias("NAME"),
+        _when_else(every("event_id", 17), "+9999,9", _signed(f"({x})")).alias("TMP"),
+        _when_else(every("event_id", 7), "+9999,9", _signed(dew)).alias("DEW"),
         _when_else(every("event_id", 3), "99999,9",
-                   F.format_string("%05d,1", _int("9400 + event_id % 1150"))).alias("SLP"),
+                   text(digits("9400 + event_id % 1150", 5), ",1")).alias("SLP"),
         _when_else(every("event_id", 5), "999999,9,9,9",
-                   F.format_string("%06d,1,9,9", _int("event_id * 37 % 30000"))).alias("VIS"),
-        F.format_string("%03d,1,N,%04d,1",
-                        _int("event_id % 361"), _int("user_id % 90")).alias("WND"),
+                   text(digits("event_id * 37 % 30000", 6), ",1,9,9")).alias("VIS"),
+        text(digits("event_id % 361", 3), ",1,N,", digits("user_id % 90", 4), ",1").alias("WND"),
         F.when(~every("event_id", 4), _when_else(
             every("event_id", 11), "24,9999,9,9",
-            F.format_string("24,%04d,3,1", _int("user_id % 50")))).alias("AA1"),
+            text("24,", digits("user_id % 50", 4), ",3,1"))).alias("AA1"),
         F.when(every("event_id", 9), "06,0010,9,5")
         .when(every("event_id", 10), "24").alias("AA2"),
         _when_else(every("event_id", 2), "99999,9,9,9",
-                   F.format_string("%05d,1,9,9", _int("event_id * 13 % 22000"))).alias("CIG"),
+                   text(digits("event_id * 13 % 22000", 5), ",1,9,9")).alias("CIG"),
         F.col("event_type").alias("REPORT_TYPE"),
     )
 
