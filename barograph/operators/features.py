@@ -12,6 +12,8 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barograph.functions.derived import nan_to_null
+
 
 @dataclass(frozen=True)
 class FeaturePlan:
@@ -57,6 +59,14 @@ def feature_plan(
     return FeaturePlan(stages, inputs)
 
 
+def with_imputed(df: DataFrame, medians: dict[str, float], suffix: str = "_imputed") -> DataFrame:
+    """Add a filled copy of each column, NULL and NaN replaced by its median."""
+    return df.withColumns({
+        f"{name}{suffix}": F.coalesce(nan_to_null(F.col(name)), F.lit(median))
+        for name, median in medians.items()
+    })
+
+
 def split_empty_columns(df: DataFrame, columns) -> tuple[list[str], list[str]]:
     """Columns with and without values; an imputer cannot fit the latter.
 
@@ -64,7 +74,7 @@ def split_empty_columns(df: DataFrame, columns) -> tuple[list[str], list[str]]:
     """
     columns = list(columns)
     row = df.agg(*[
-        F.count(F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))).alias(f"c{i}")
+        F.count(nan_to_null(F.col(name))).alias(f"c{i}")
         for i, name in enumerate(columns)
     ]).first()
     filled = [name for i, name in enumerate(columns) if row[i] > 0]

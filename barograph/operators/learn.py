@@ -94,7 +94,7 @@ def grid_search(
     seconds = time.monotonic() - started
     scores = fitted.avgMetrics if preset.train_ratio is None else fitted.validationMetrics
     grid = [{param.name: value for param, value in point.items()} for point in param_maps]
-    return Search(fitted.bestModel, grid, list(scores), seconds, plan.inputs)
+    return Search(fitted.bestModel, grid, [float(s) for s in scores], seconds, plan.inputs)
 
 
 def _ddl(value: object) -> str:
