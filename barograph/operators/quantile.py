@@ -35,14 +35,18 @@ def exact_medians(
         number = F.col(name).cast("double")
         return F.when(~F.isnan(number), number)
 
+    around = [0.5 - SKETCH_MARGIN, 0.5 + SKETCH_MARGIN]
     first = _one_row(df, {
-        name: [F.count(value(name)), F.approx_count_distinct(value(name))] for name in columns
+        name: [F.count(value(name)), F.approx_count_distinct(value(name)),
+               F.percentile_approx(value(name), around, SKETCH_ACCURACY)]
+        for name in columns
     })
     answers: dict[str, float | None] = {}
     # Per column: bracket (open on both sides), values below it, values in it,
     # distinct values in it, rank of the median.
     open_columns: dict[str, dict] = {}
-    for name, (count, distinct) in first.items():
+    bounds: dict[str, list] = {}
+    for name, (count, distinct, pair) in first.items():
         if count == 0:
             answers[name] = None
         else:
@@ -50,6 +54,7 @@ def exact_medians(
                 "low": None, "high": None, "below": 0, "inside": count,
                 "distinct": distinct, "rank": (count + 1) // 2,
             }
+            bounds[name] = pair
 
     def inside(name: str, state: dict) -> Column:
         number = value(name)
@@ -67,16 +72,20 @@ def exact_medians(
         }
         if not wide:
             break
-        bounds = _one_row(df, {
-            name: [F.percentile_approx(inside(name, state), _fractions(state), SKETCH_ACCURACY)]
-            for name, state in wide.items()
-        })
+        missing = [name for name in wide if name not in bounds]
+        if missing:
+            sketched = _one_row(df, {
+                name: [F.percentile_approx(
+                    inside(name, wide[name]), _fractions(wide[name]), SKETCH_ACCURACY)]
+                for name in missing
+            })
+            bounds.update({name: pair for name, (pair,) in sketched.items()})
         measured = _one_row(df, {
-            name: _bracket_counts(inside(name, wide[name]), *pair)
-            for name, (pair,) in bounds.items()
+            name: _bracket_counts(inside(name, state), *bounds[name])
+            for name, state in wide.items()
         })
         for name, (below, at_low, between, at_high, distinct) in measured.items():
-            state, (low, high) = open_columns[name], bounds[name][0]
+            state, (low, high) = open_columns[name], bounds.pop(name)
             target = state["rank"] - state["below"]
             if target <= below:
                 state.update(high=low, inside=below)

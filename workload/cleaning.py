@@ -38,8 +38,10 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_features(decoded(spark, sf_dir))
 
 
-def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_filter(features(spark, sf_dir))
+def clean(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """Clean observations, with further packed columns if named."""
+    rows = decode_observations(packed(spark, sf_dir), keep=("event_id", *keep))
+    return quality_filter(derive_features(rows))
 
 
 _DECODED_COLUMNS = f"""event_id, "STATION", strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS observed_at,

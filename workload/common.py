@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barograph.session import configure
+from barograph.session import configure, scratch_path, spread
+from barograph.sources.tables import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,18 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back.
+
+    Models read their rows many times; a written table is decoded once and its
+    partitions outlive a lost executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    write_table(spread(df, spark.sparkContext.defaultParallelism), path)
+    return read_table(spark, path)
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Round the given columns, all double columns by default."""
     names = columns or tuple(name for name, kind in df.dtypes if kind == "double")

@@ -28,7 +28,7 @@ from barograph.operators.quality import complete_cases, fit_median_fill
 from barograph.operators.split import hash_split, split_parts, with_fold
 from barograph.session import persisted, spread
 from workload.cleaning import GAPS, GAPS_SQL, clean, with_gaps
-from workload.common import Registry, every, is_train_sql, load, r, rounded
+from workload.common import Registry, every, is_train_sql, load, r, rounded, stored
 from workload.packed import clean_sql
 
 registry = Registry()
@@ -174,7 +174,7 @@ WEATHER_SQL = f"""weather AS (SELECT event_id, dew_point, wind_speed, temperatur
 def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean(spark, sf_dir).select(
         "event_id", *WEATHER, F.col("temperature").alias("label"))
-    return hash_split(complete_cases(rows, WEATHER), ["event_id"])
+    return stored(hash_split(complete_cases(rows, WEATHER), ["event_id"]), "weather")
 
 
 def fit_weather(train: DataFrame, features: list[str]):
@@ -273,18 +273,17 @@ _RANKED = ("dew_point", "sea_level_pressure", "visibility", "wind_speed", "preci
     PARTITION BY model ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM importances) WHERE rank <= 5""")
 def top_five_features(spark, sf_dir):
     """Five features most correlated with temperature, per report type."""
-    kinds = load(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("model"))
-    table = clean(spark, sf_dir).join(kinds, "event_id").groupBy("model").agg(F.array(*[
+    rows = clean(spark, sf_dir, "REPORT_TYPE").withColumnRenamed("REPORT_TYPE", "model")
+    table = rows.groupBy("model").agg(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.abs(F.corr("temperature", c)).alias("importance"))
         for c in _RANKED]).alias("lines"))
     return rounded(top_features(table.select("model", F.inline("lines")), 5))
 
 
-def _model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean observations with 14 features, spread over all cores."""
-    rows = clean(spark, sf_dir).select(
-        "event_id", *FEATURES_14, F.col("temperature").alias("label"))
-    return spread(rows, spark.sparkContext.defaultParallelism)
+def _model_rows(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """Clean observations with 14 features."""
+    return stored(clean(spark, sf_dir, *keep).select(
+        "event_id", *keep, *FEATURES_14, F.col("temperature").alias("label")), "features")
 
 
 def _search(spark: SparkSession, sf_dir: str, preset: Preset):
@@ -374,9 +373,8 @@ def lr_imputed_test_metrics(spark, sf_dir):
 @query()
 def encoded_feature_pipeline(spark, sf_dir):
     """Imputed, encoded and scaled features with a default linear model."""
-    kinds = load(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("REPORT_TYPE"))
-    rows = hash_split(_model_rows(spark, sf_dir).join(kinds, "event_id"), ["event_id"],
-                      {"train": 80, "test": 20})
+    rows = hash_split(
+        _model_rows(spark, sf_dir, "REPORT_TYPE"), ["event_id"], {"train": 80, "test": 20})
     train, test = split_parts(rows)
     plan = feature_plan(FEATURES_14, ["REPORT_TYPE"], suffix="_imp", scale=True)
     model = Pipeline(stages=[*plan.stages, linear()]).fit(train)
@@ -387,7 +385,10 @@ _ITEM_FEATURES = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with gaps in two features; the label is the price in thousands."""
+    """Line items with gaps in two features; the label is the price in thousands.
+
+    One repartition so that the trees train on all cores from a small file.
+    """
     key = F.col("l_orderkey") + F.col("l_linenumber")
     rows = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.when(key % 7 != 0, F.col("l_quantity")).alias("l_quantity"),
