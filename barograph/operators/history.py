@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barograph.functions.derived import epoch_hour
+from barograph.session import materialize
 
 HOUR = 3600
+# Stations whose averages may be broadcast: some 50 bytes each.
+BROADCAST_ROWS = 500_000
 
 
 def hourly_series(df: DataFrame, station: str, timestamp: str, values: list[str]) -> DataFrame:
@@ -83,14 +86,17 @@ def fit_station_stats(
 
 
 def apply_station_stats(
-    df: DataFrame, stats: DataFrame, station: str = "STATION", broadcast_rows: int | None = None
+    df: DataFrame, stats: DataFrame, station: str = "STATION",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join of the station averages; unseen stations get NULL.
 
-    Spark chooses the join from the measured size of ``stats``. With
-    ``broadcast_rows`` the stations are counted first (an action) and broadcast
-    only if there are no more than that; otherwise the join stays as it is.
+    The averages are checkpointed and counted first (an action). Up to
+    ``broadcast_rows`` stations are broadcast, so that the observations need no
+    shuffle; more stations are joined by shuffle, where adaptive execution
+    splits a station with a large share of the rows.
     """
-    if broadcast_rows is not None and stats.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    stats = materialize(stats)
+    if stats.count() <= broadcast_rows:
         stats = F.broadcast(stats)
     return df.join(stats, station, "left")

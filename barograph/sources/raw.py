@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from barograph.session import persisted
+
 CHUNK = 1 << 16
 
 
@@ -33,29 +35,28 @@ def read_raw(
     if malformed not in ("keep", "drop"):
         raise ValueError(f"malformed must be 'keep' or 'drop', not {malformed!r}")
     drop = malformed == "drop"
-    headers = file_headers(spark, path, glob).where(F.col("header") != "")
-    distinct = [row["header"] for row in headers.select("header").distinct().collect()]
-    if not distinct:
-        raise ValueError(f"no {glob} file with a header below {path}")
-    layouts = {header: _layout(header, None if drop else columns) for header in distinct}
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for header, names in layouts.items():
-        groups.setdefault(names, []).append(header)
-
-    if len(groups) == 1:
-        tables = [_read_group(spark, [path], next(iter(groups)), drop, glob)]
-    else:
-        located = headers.persist()
-        tables = [
-            _read_group(spark, _paths(located, members), names, drop, glob)
-            for names, members in groups.items()
-        ]
-        located.unpersist()
+    with persisted(file_headers(spark, path, glob).where(F.col("header") != "")) as headers:
+        groups = _groups(headers, None if drop else columns)
+        if not groups:
+            raise ValueError(f"no {glob} file with a header below {path}")
+        if len(groups) == 1:
+            sources = [([path], next(iter(groups)))]
+        else:
+            sources = [(_paths(headers, members), names) for names, members in groups.items()]
+    tables = [_read_group(spark, paths, names, drop, glob) for paths, names in sources]
     if columns is not None:
         tables = [t.select(*[c for c in columns if c in t.columns]) for t in tables]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def _groups(headers: DataFrame, columns: list[str] | None) -> dict[tuple[str, ...], list[str]]:
+    """Headers by the column layout they lead to."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in headers.select("header").distinct().collect():
+        groups.setdefault(_layout(row["header"], columns), []).append(row["header"])
+    return groups
+
+
 def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """Path and first line of every file (path, header).
 

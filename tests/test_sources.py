@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barograph.operators.features import feature_list
 from barograph.session import materialize, persisted, scratch_path, spread
-from barograph.sources.raw import read_raw
+from barograph.sources.raw import file_headers, read_raw
 from barograph.sources.tables import (
     read_partition, read_result, read_table, replace_partitions, write_bounded, write_partitioned,
     write_result, write_sample,
@@ -108,6 +108,32 @@ def test_small_partitions_get_one_file_each(spark, tmp_path):
         assert sum(name.endswith(".parquet") for name in names) == 1
 
 
+def test_a_hot_partition_is_split(spark, tmp_path):
+    hot = spark.range(200_000).select(
+        F.hash("id").alias("x"), F.lit(2024).alias("year"),
+        F.when(F.col("id") % 20 == 0, (F.col("id") % 12 + 1)).otherwise(5).cast("int").alias("month"))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "128KB")
+    try:
+        write_partitioned(hot.repartition(16), str(tmp_path / "t"))
+    finally:
+        spark.conf.set(name, before)
+
+    def files(month):
+        names = os.listdir(f"{tmp_path}/t/year=2024/month={month}")
+        return sum(n.endswith(".parquet") for n in names)
+
+    assert files(5) > 4 and files(1) == 1
+    assert read_table(spark, str(tmp_path / "t")).count() == 200_000
+
+
+def test_listing_reads_no_content(spark, tmp_path):
+    put(tmp_path, "a.csv", "STATION,TMP\n1,x\n")
+    plan = file_headers(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string>" in plan
+
+
 def test_bounded_write(spark, tmp_path):
     path = str(tmp_path / "t")
     write_bounded(months(spark).repartition(8), path, files=2)

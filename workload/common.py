@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barograph.session import configure, scratch_path, spread
+from barograph.session import configure, scratch_path
 from barograph.sources.tables import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,12 +37,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back.
 
-    Models read their rows many times; a written table is decoded once and its
-    partitions outlive a lost executor.
+    Models read their rows many times; a written table is decoded once and
+    outlives a lost executor. The rebalance gives files of a good size at any
+    scale.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    write_table(spread(df, spark.sparkContext.defaultParallelism), path)
+    write_table(df.hint("rebalance"), path)
     return read_table(spark, path)
 
 

@@ -26,7 +26,7 @@ from barograph.operators.learn import (
 from barograph.operators.presets import PRESETS, Preset
 from barograph.operators.quality import complete_cases, fit_median_fill
 from barograph.operators.split import hash_split, split_parts, with_fold
-from barograph.session import persisted, spread
+from barograph.session import persisted
 from workload.cleaning import GAPS, GAPS_SQL, clean, with_gaps
 from workload.common import Registry, every, is_train_sql, load, r, rounded, stored
 from workload.packed import clean_sql
@@ -387,7 +387,7 @@ _ITEM_FEATURES = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with gaps in two features; the label is the price in thousands.
 
-    One repartition so that the trees train on all cores from a small file.
+    The rebalance lets the trees train on all cores, also from a single file.
     """
     key = F.col("l_orderkey") + F.col("l_linenumber")
     rows = load(spark, sf_dir, "lineitem").select(
@@ -395,7 +395,7 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 5 != 0, F.col("l_discount")).alias("l_discount"), "l_tax",
         F.col("l_linenumber").cast("double").alias("l_linenumber"),
         (F.col("l_extendedprice") / 1000).alias("label"))
-    return spread(rows, spark.sparkContext.defaultParallelism)
+    return rows.hint("rebalance")
 
 
 def _search_items(spark: SparkSession, sf_dir: str, preset: Preset) -> DataFrame:
