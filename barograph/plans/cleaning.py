@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from barograph.operators.decode import (
     PRECIPITATION_DEFAULT, decode_observations, decode_value_quality,
 )
-from barograph.operators.derive import clean_numbers, derive_features, with_partition_keys
+from barograph.operators.derive import (
+    clean_numbers, derive_features, with_humidity, with_partition_keys,
+)
 from barograph.operators.quality import (
     TEMPERATURE_LIMITS, apply_median_fill, fit_median_fill, plausible_range, quality_filter,
     rejection_counts, standard_rules, tag_rejections,
@@ -111,8 +113,6 @@ def run_value_quality_etl(
     scales: dict[str, float] | None = None, parts: dict[str, int] | None = None,
 ) -> None:
     """Value-quality files to a table partitioned by year and month."""
-    from barograph.operators.derive import with_humidity
-
     raw = read_raw(spark, input_path, malformed="drop")
     decoded = decode_value_quality(raw, scales, parts)
     if "DEW_num" in decoded.columns:
