@@ -111,9 +111,14 @@ def split_path(output_path: str, part: str) -> str:
 def run_value_quality_etl(
     spark: SparkSession, input_path: str, output_path: str,
     scales: dict[str, float] | None = None, parts: dict[str, int] | None = None,
+    columns: list[str] | None = None,
 ) -> None:
-    """Value-quality files to a table partitioned by year and month."""
-    raw = read_raw(spark, input_path, malformed="drop")
+    """Value-quality files to a table partitioned by year and month.
+
+    ``columns`` keeps only these raw columns; name them when the files have many
+    different headers.
+    """
+    raw = read_raw(spark, input_path, malformed="drop", columns=columns)
     decoded = decode_value_quality(raw, scales, parts)
     if "DEW_num" in decoded.columns:
         decoded = with_humidity(decoded, "DEW_num", "label", "RH_num")

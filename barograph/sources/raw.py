@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import csv
 from functools import reduce
-from urllib.parse import quote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +17,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from barograph.session import persisted
 
-CHUNK = 1 << 16
-
 
 def read_raw(
     spark: SparkSession, path: str, malformed: str = "keep", glob: str = "*.csv",
@@ -29,14 +26,14 @@ def read_raw(
 
     ``malformed="drop"`` drops rows with more or fewer values than the header.
     ``columns`` keeps only these columns. Then files with these columns in the
-    same places form one group, whatever else their headers hold, unless rows
-    are dropped, which needs the whole header.
+    same places form one group, whatever else their headers hold; with dropping
+    their headers must also be equally long.
     """
     if malformed not in ("keep", "drop"):
         raise ValueError(f"malformed must be 'keep' or 'drop', not {malformed!r}")
     drop = malformed == "drop"
     with persisted(file_headers(spark, path, glob).where(F.col("header") != "")) as headers:
-        groups = _groups(headers, None if drop else columns)
+        groups = _groups(headers, columns, drop)
         if not groups:
             raise ValueError(f"no {glob} file with a header below {path}")
         if len(groups) == 1:
@@ -49,11 +46,14 @@ def read_raw(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def _groups(headers: DataFrame, columns: list[str] | None) -> dict[tuple[str, ...], list[str]]:
+def _groups(
+    headers: DataFrame, columns: list[str] | None, whole: bool
+) -> dict[tuple[str, ...], list[str]]:
     """Headers by the column layout they lead to."""
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in headers.select("header").distinct().collect():
-        groups.setdefault(_layout(row["header"], columns), []).append(row["header"])
+        layout = _layout(row["header"], columns, whole)
+        groups.setdefault(layout, []).append(row["header"])
     return groups
 
 
@@ -65,36 +65,49 @@ def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFra
     """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path"))
-    return files.mapInPandas(_first_lines, "path string, header string")
+    return files.mapInPandas(_header_reader(), "path string, header string")
+
+
+def _header_reader():
+    """Task function for ``file_headers``.
+
+    It is built here, with all it needs inside, so that workers without this
+    package can run it.
+    """
+    chunk_size = 1 << 16
+
+    def first_line(path: str) -> str:
+        from urllib.parse import quote, urlsplit
 
+        from pyarrow import fs
 
-def _first_lines(batches):
-    for batch in batches:
-        yield batch.assign(header=[_first_line(path) for path in batch["path"]])
+        parts = urlsplit(path)
+        if parts.scheme in ("", "file"):
+            filesystem, name = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+        else:
+            address = f"{parts.scheme}://{parts.netloc}{quote(path.split(parts.netloc, 1)[1])}"
+            filesystem, name = fs.FileSystem.from_uri(address)
+        text = b""
+        with filesystem.open_input_stream(name, compression="detect") as stream:
+            while b"\n" not in text:
+                chunk = stream.read(chunk_size)
+                if not chunk:
+                    break
+                text += chunk
+        return text.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r")
 
+    def first_lines(batches):
+        for batch in batches:
+            yield batch.assign(header=[first_line(path) for path in batch["path"]])
 
-def _first_line(path: str) -> str:
-    from pyarrow import fs
+    return first_lines
 
-    parts = urlsplit(path)
-    if parts.scheme in ("", "file"):
-        filesystem, name = fs.LocalFileSystem(), path.removeprefix("file:")
-        name = "/" + name.lstrip("/")
-    else:
-        address = f"{parts.scheme}://{parts.netloc}{quote(path.split(parts.netloc, 1)[1])}"
-        filesystem, name = fs.FileSystem.from_uri(address)
-    text = b""
-    with filesystem.open_input_stream(name, compression="detect") as stream:
-        while b"\n" not in text:
-            chunk = stream.read(CHUNK)
-            if not chunk:
-                break
-            text += chunk
-    return text.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r")
 
+def _layout(header: str, columns: list[str] | None, whole: bool) -> tuple[str, ...]:
+    """Column name per position; positions nobody asked for get a placeholder.
 
-def _layout(header: str, columns: list[str] | None) -> tuple[str, ...]:
-    """Column name per position; positions nobody asked for get a placeholder."""
+    Without ``whole`` the layout ends at the last wanted column.
+    """
     names = next(csv.reader([header]))
     seen: dict[str, int] = {}
     for name in names:
@@ -106,6 +119,8 @@ def _layout(header: str, columns: list[str] | None) -> tuple[str, ...]:
     if columns is None:
         return tuple(unique)
     wanted = [name if name in columns else f"_c{i}" for i, name in enumerate(unique)]
+    if whole:
+        return tuple(wanted)
     last = max((i for i, name in enumerate(unique) if name in columns), default=0)
     return tuple(wanted[:last + 1])
 

@@ -1,5 +1,8 @@
 import gzip
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +16,9 @@ from barograph.sources.tables import (
 )
 
 
+ROOT = Path(__file__).resolve().parents[1]
+
+
 def put(folder, name, text):
     path = folder / name
     path.parent.mkdir(parents=True, exist_ok=True)
@@ -59,6 +65,14 @@ def test_wanted_columns_group_by_place(spark, tmp_path):
     assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_wanted_columns_with_dropping(spark, tmp_path):
+    put(tmp_path, "a.csv", "STATION,TMP,Q1\n1,x,p\n9,x\n")
+    put(tmp_path, "b.csv", "STATION,TMP,Q2\n2,y,p\n8,y,p,q\n")
+    df = read_raw(spark, str(tmp_path), malformed="drop", columns=["STATION", "TMP"])
+    assert rows(df, "STATION", "TMP") == [("1", "x"), ("2", "y")]
+    assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_malformed_rows_drop_whatever_is_selected(spark, tmp_path):
     put(tmp_path, "a.csv", "STATION,DATE,TMP\n1,d,x\n2,d\n3,d,y,z\n4,d,w\n")
     df = read_raw(spark, str(tmp_path), malformed="drop")
@@ -68,6 +82,22 @@ def test_malformed_rows_drop_whatever_is_selected(spark, tmp_path):
         read_raw(spark, str(tmp_path), malformed="maybe")
 
 
+def test_workers_need_no_package(tmp_path):
+    """The tasks of ``read_raw`` run where only Spark and pyarrow are installed."""
+    put(tmp_path, "raw/a.csv", "STATION,TMP\n1,x\n")
+    script = (
+        f"import sys; sys.path.insert(0, {str(ROOT)!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "from barograph.sources.raw import read_raw\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"print('rows', read_raw(spark, {str(tmp_path / 'raw')!r}).count())\n")
+    environment = {k: v for k, v in os.environ.items() if not k.startswith(("PYTHONPATH", "PYSPARK_", "SPARK_"))}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True,
+        timeout=120)
+    assert "rows 1" in done.stdout, done.stderr[-2000:]
+
+
 def test_header_names_are_made_unique(spark, tmp_path):
     put(tmp_path, "a.csv", "X,,X\n1,2,3\n")
     assert read_raw(spark, str(tmp_path)).columns == ["X0", "_c1", "X2"]
