@@ -106,7 +106,7 @@ def test_shared_preparation_gives_the_same_scores(data, monkeypatch):
 def test_cached_node_ids_do_not_change_a_forest(data):
     rows = Pipeline(stages=feature_plan(["a", "b", "c"]).stages).fit(data).transform(data)
     one = forest(numTrees=4, maxDepth=5).fit(rows)
-    other = forest(numTrees=4, maxDepth=5, cacheNodeIds=False).fit(rows)
+    other = forest(numTrees=4, maxDepth=5, cacheNodeIds=True).fit(rows)
     assert one.toDebugString.split("\n")[1:] == other.toDebugString.split("\n")[1:]
 
 
