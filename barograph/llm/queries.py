@@ -1,6 +1,6 @@
 """All registered queries of the corpus operators."""
 
-from barograph.llm import decontaminate, packing, patched_frames, sharding, url_filter  # noqa: F401
+from barograph.llm import decontaminate, jaccard_join, packing, patched_frames, sharding, url_filter  # noqa: F401
 from barograph.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
