@@ -1,6 +1,15 @@
 """All registered queries of the corpus operators."""
 
-from barograph.llm import decontaminate, jaccard_join, order_minhash, packing, patched_frames, sharding, url_filter  # noqa: F401
+from barograph.llm import (  # noqa: F401
+    decontaminate,
+    jaccard_join,
+    order_minhash,
+    packing,
+    patched_frames,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from barograph.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
