@@ -6,6 +6,7 @@ from barograph.llm import (  # noqa: F401
     order_minhash,
     packing,
     patched_frames,
+    repeated_strings,
     sharding,
     toxicity,
     url_filter,
