@@ -7,6 +7,7 @@ from barograph.llm import (  # noqa: F401
     packing,
     patched_frames,
     repeated_strings,
+    secret_scan,
     sharding,
     toxicity,
     url_filter,
