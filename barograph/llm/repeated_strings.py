@@ -225,7 +225,7 @@ def _strings(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return out.reshape(-1).view(f"S{length + 1}")
 
 
-def compared_runs(runs: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+def compared_runs(runs: DataFrame, docs: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     """``doc_id, low, high``: covered bytes found by comparing runs that share only their anchor."""
     lists = runs.where("NOT again").groupBy("doc_id").agg(
         F.collect_list(F.struct("anchor", "run", "place")).alias("runs"))  # as many as the text has anchors
@@ -273,7 +273,7 @@ def compared_runs(runs: DataFrame, docs: DataFrame, length: int) -> DataFrame:
             for row in zip(*(column.to_pylist() for column in batch.columns)):
                 held.append(row)
                 size += len(row[3])
-                if size >= SHARD_BYTES:
+                if size >= shard_bytes:
                     yield shard()
                     held, size = [], 0
         if held:
@@ -290,17 +290,17 @@ def _ranges(starts: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[np.append(0, cut + 1)].tolist(), starts[np.append(cut, len(starts) - 1)].tolist()))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``doc_id, spans``: the maximal byte runs of each text that earlier strings cover."""
     runs = sorted_runs(run_table(docs, length))
     whole = runs.where("again").select(
         "doc_id", F.expr(f"place div {SPAN}").alias("low"),
         (F.expr(f"place div {SPAN}") + F.col("place") % SPAN + length).alias("high"))
-    covered = whole.unionByName(compared_runs(runs, docs, length))
+    covered = whole.unionByName(compared_runs(runs, docs, length, shard_bytes))
     return covered.groupBy("doc_id").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
 
 
-def remove_repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeated(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row.
 
     ``kept`` holds the remaining bytes. Texts shorter than ``length`` bytes, null
@@ -308,7 +308,7 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     takes them from others. Rows repeated with the same id are the same
     document and keep what they have in common.
     """
-    spans = repeated_spans(docs, length)
+    spans = repeated_spans(docs, length, shard_bytes)
     id_type = docs.schema["doc_id"].dataType
     rows = docs.join(spans.withColumn("doc_id", F.col("doc_id").cast(id_type)), "doc_id", "left").select(
         "doc_id", "text", "spans")
