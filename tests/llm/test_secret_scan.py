@@ -1,0 +1,55 @@
+import random
+
+from barograph.llm import secret_scan as ss
+from barograph.llm.common import id_and_text
+from tests.llm.fixtures import awkward, empty, prose
+
+
+def rows(n=60):
+    rng = random.Random(4)
+    token = lambda k: "".join(rng.choice("0123456789abcdef") for _ in range(k))
+    out, planted = [], {}
+    for k in range(n):
+        secret = (f'token = "{token(40)}"', f"password={token(18)}", "AKIA" + token(16).upper())[k % 3]
+        out.append((100 + k, f"{prose(k, 30)} {secret} {prose(k + 1, 10)}"))
+        planted[100 + k] = secret.split("=")[-1].strip(' "')
+        out.append((300 + k, f"{prose(k, 30)} {rng.randrange(10 ** 15, 10 ** 16)} http://a.com/path/item{token(12)} "
+                             f"page release2024version {prose(k, 9)}"))
+    return out, planted
+
+
+def test_secrets_are_found_and_decoys_are_not(spark):
+    docs, planted = rows()
+    found = ss.scan(id_and_text(awkward(spark, docs))).collect()
+    confirmed = {r.doc_id: r.candidate for r in found if r.secret}
+    assert confirmed == planted
+
+
+def test_mask_keeps_rows_columns_and_the_rest_of_the_text(spark):
+    docs, planted = rows(9)
+    text = dict(docs)
+    double = f"{planted[100]} and token: '{planted[100]}'"
+    df = awkward(spark, [*docs, (100, "same id, no secret 1234567890123456"), (500, double), (500, double)])
+    masked = ss.mask_secrets(df)
+    assert masked.columns == df.columns and masked.count() == df.count()
+    for r in masked.where("doc_id BETWEEN 101 AND 108").collect():
+        assert r.text == text[r.doc_id].replace(planted[r.doc_id], ss.MASK)
+    before = sorted((repr(r) for r in df.where("doc_id IS NULL OR doc_id < 100 OR doc_id BETWEEN 300 AND 400").collect()))
+    assert before == sorted(repr(r) for r in masked.where("doc_id IS NULL OR doc_id < 100 OR doc_id BETWEEN 300 AND 400").collect())
+    same = [r.text for r in masked.where("doc_id = 500").collect()]
+    assert len(same) == 2 and all(ss.MASK in t for t in same)
+
+
+def test_labelled_findings_can_be_given(spark):
+    docs, _ = rows(12)
+    findings = spark.createDataFrame(
+        [(f"abc{k}def{k * 7919}xyz{k}", "key: ", " end", float(k % 2)) for k in range(10, 60)],
+        "candidate string, before string, after string, label double")
+    found = ss.scan(id_and_text(awkward(spark, docs)), findings)
+    assert found.count() > 0 and found.where("score BETWEEN 0 AND 1").count() == found.count()
+
+
+def test_empty_and_candidate_free_tables(spark):
+    assert ss.scan(id_and_text(empty(spark))).count() == 0
+    df = awkward(spark)
+    assert ss.mask_secrets(df).exceptAll(df).count() == 0
