@@ -1,141 +1,119 @@
 """Raw observation files: delimited text with a header, all columns strings.
 
 Files of one folder may have different headers (optional field groups come and
-go), and a single CSV scan applies one header to all of them by position. The
-reader therefore looks at the header of every file first, groups the files by
-header and reads each group with its own schema.
+go), and a CSV scan applies one header to all of them by position. The reader
+therefore takes the lines as text, learns each file's header, and parses every
+line by its own file's width; names become positions per header. Two scans serve
+any number of headers: one for the headers and one for the rows. Only Spark
+opens the files, so any file system and credentials of the session will do.
 """
 
 from __future__ import annotations
 
 import csv
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from barograph.session import persisted
+from barograph.session import materialize
+
+#: With more files, the table of their headers is joined by shuffle, not by broadcast (some 200 bytes a file).
+BROADCAST_FILES = 200_000
 
 
 def read_raw(
     spark: SparkSession, path: str, malformed: str = "keep", glob: str = "*.csv",
-    columns: list[str] | None = None,
+    columns: list[str] | None = None, header: str | None = None,
 ) -> DataFrame:
     """All files below ``path`` as one all-string table; absent columns are NULL.
 
-    ``malformed="drop"`` drops rows with more or fewer values than the header.
-    ``columns`` keeps only these columns. Then files with these columns in the
-    same places form one group, whatever else their headers hold; with dropping
-    their headers must also be equally long.
+    The first line that is not blank is a file's header; a line equal to it is
+    no row. ``malformed="drop"`` drops rows with more or fewer values than their
+    file's header. ``columns`` keeps only these columns. ``header``, where all
+    files share one, saves the scan for the headers.
     """
     if malformed not in ("keep", "drop"):
         raise ValueError(f"malformed must be 'keep' or 'drop', not {malformed!r}")
-    drop = malformed == "drop"
-    with persisted(file_headers(spark, path, glob).where(F.col("header") != "")) as headers:
-        groups = _groups(headers, columns, drop)
-        if not groups:
+    lines = _lines(spark, path, glob)
+    if header is not None:
+        found, rows = [header], lines.select("value", F.lit(0).alias("layout"))
+    else:
+        headers = materialize(file_headers(spark, path, glob))
+        found = sorted(row["header"] for row in headers.select("header").distinct().collect())
+        if not found:
             raise ValueError(f"no {glob} file with a header below {path}")
-        if len(groups) == 1:
-            sources = [([path], next(iter(groups)))]
+        if len(found) == 1:
+            rows = lines.select("value", F.lit(0).alias("layout"))
         else:
-            sources = [(_paths(headers, members), names) for names, members in groups.items()]
-    tables = [_read_group(spark, paths, names, drop, glob) for paths, names in sources]
+            rows = _with_layout(lines, headers, found)
+    layouts = [_names(text) for text in found]
+    parsed = _parsed(rows, found, layouts, malformed == "drop")
+    names = list(dict.fromkeys(name for layout in layouts for name in layout))
     if columns is not None:
-        tables = [t.select(*[c for c in columns if c in t.columns]) for t in tables]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+        names = [name for name in columns if name in names]
+    return parsed.select(*[_value(name, layouts).alias(name) for name in names])
 
 
-def _groups(
-    headers: DataFrame, columns: list[str] | None, whole: bool
-) -> dict[tuple[str, ...], list[str]]:
-    """Headers by the column layout they lead to."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.select("header").distinct().collect():
-        layout = _layout(row["header"], columns, whole)
-        groups.setdefault(layout, []).append(row["header"])
-    return groups
+def _lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    text = spark.read.option("pathGlobFilter", glob).text(path)
+    return text.select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+    ).where(F.trim("value") != "")
 
 
 def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """Path and first line of every file (path, header).
+    """Path and first non-blank line of every file (path, header).
 
-    Spark lists the files; the tasks open each one and read up to its first
-    line break only.
+    The lines of a file's first block reach one task in file order, so the
+    smallest running number marks the first one.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path"))
-    return files.mapInPandas(_header_reader(), "path string, header string")
-
-
-def _header_reader():
-    """Task function for ``file_headers``.
-
-    It is built here, with all it needs inside, so that workers without this
-    package can run it.
-    """
-    chunk_size = 1 << 16
-
-    def first_line(path: str) -> str:
-        from urllib.parse import quote, urlsplit
-
-        from pyarrow import fs
+    first = _lines(spark, path, glob).where("start = 0").withColumn("at", F.monotonically_increasing_id())
+    return first.groupBy("path").agg(F.min_by("value", "at").alias("header"))
 
-        parts = urlsplit(path)
-        if parts.scheme in ("", "file"):
-            filesystem, name = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-        else:
-            address = f"{parts.scheme}://{parts.netloc}{quote(path.split(parts.netloc, 1)[1])}"
-            filesystem, name = fs.FileSystem.from_uri(address)
-        text = b""
-        with filesystem.open_input_stream(name, compression="detect") as stream:
-            while b"\n" not in text:
-                chunk = stream.read(chunk_size)
-                if not chunk:
-                    break
-                text += chunk
-        return text.split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r")
-
-    def first_lines(batches):
-        for batch in batches:
-            yield batch.assign(header=[first_line(path) for path in batch["path"]])
 
-    return first_lines
+def _with_layout(lines: DataFrame, headers: DataFrame, found: list[str]) -> DataFrame:
+    """Add the number of the file's header to every line."""
+    known = F.array(*[F.lit(text) for text in found])
+    numbered = headers.select("path", (F.array_position(known, F.col("header")) - 1).cast("int").alias("layout"))
+    if headers.count() <= BROADCAST_FILES:
+        numbered = F.broadcast(numbered)
+    return lines.join(numbered, "path").select("value", "layout")
 
 
-def _layout(header: str, columns: list[str] | None, whole: bool) -> tuple[str, ...]:
-    """Column name per position; positions nobody asked for get a placeholder.
-
-    Without ``whole`` the layout ends at the last wanted column.
-    """
-    names = next(csv.reader([header]))
+def _names(header: str) -> list[str]:
+    """Column name per position; empty and repeated names get their position."""
+    names = next(csv.reader([header.removeprefix("﻿")]))
     seen: dict[str, int] = {}
     for name in names:
         seen[name] = seen.get(name, 0) + 1
-    unique = [
-        f"_c{i}" if not name else f"{name}{i}" if seen[name] > 1 else name
-        for i, name in enumerate(names)
-    ]
-    if columns is None:
-        return tuple(unique)
-    wanted = [name if name in columns else f"_c{i}" for i, name in enumerate(unique)]
-    if whole:
-        return tuple(wanted)
-    last = max((i for i, name in enumerate(unique) if name in columns), default=0)
-    return tuple(wanted[:last + 1])
-
-
-def _paths(headers: DataFrame, members: list[str]) -> list[str]:
-    """Paths of the files with one of these headers: file metadata, as in any scan."""
-    return [row["path"] for row in headers.where(F.col("header").isin(members)).toLocalIterator()]
-
-
-def _read_group(
-    spark: SparkSession, paths: list[str], names: tuple[str, ...], drop: bool, glob: str
-) -> DataFrame:
-    schema = StructType([StructField(name, StringType()) for name in names])
-    reader = spark.read.schema(schema).option("header", True).option("pathGlobFilter", glob)
+    return [f"_c{i}" if not name else f"{name}{i}" if seen[name] > 1 else name for i, name in enumerate(names)]
+
+
+def _parsed(rows: DataFrame, found: list[str], layouts: list[list[str]], drop: bool) -> DataFrame:
+    """Values of every row by position, with the number of its header."""
+    headers = F.array(*[F.lit(text) for text in found])
+    widths = F.array(*[F.lit(len(layout)) for layout in layouts])
+    data = rows.where(F.col("value") != F.get(headers, F.col("layout"))).withColumn(
+        "width", F.get(widths, F.col("layout")))
+    values = None
+    for width in sorted({len(layout) for layout in layouts}):
+        fields = [f"_{i}" for i in range(width)]
+        schema = ", ".join(f"{name} string" for name in [*fields, *(["bad"] if drop else [])])
+        options = {"mode": "PERMISSIVE", **({"columnNameOfCorruptRecord": "bad"} if drop else {})}
+        row = F.from_csv("value", schema, options)
+        text = F.transform(F.array(row), lambda r: F.struct(
+            F.array(*[r[name] for name in fields]).alias("values"),
+            (r["bad"] if drop else F.lit(None).cast("string")).alias("bad")))[0]
+        mine = F.col("width") == width
+        values = F.when(mine, text) if values is None else values.when(mine, text)
+    parsed = data.select("layout", values.alias("row"))
     if drop:
-        # With pruned columns Spark would judge only the columns a query reads.
-        reader = reader.option("mode", "DROPMALFORMED").option("columnPruning", False)
-    return reader.csv(paths)
+        parsed = parsed.where("row.bad IS NULL")
+    return parsed.select("layout", F.col("row.values").alias("values"))
+
+
+def _value(name: str, layouts: list[list[str]]):
+    """Value of a column: each header has it at its own position, or not at all."""
+    places = [layout.index(name) if name in layout else -1 for layout in layouts]
+    place = F.get(F.array(*[F.lit(p) for p in places]), F.col("layout")) if len(set(places)) > 1 else F.lit(places[0])
+    return F.get("values", place)

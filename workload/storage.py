@@ -74,6 +74,51 @@ def raw_files_drop_malformed(spark, sf_dir):
     return read_raw(spark, path, malformed="drop")
 
 
+@query("SELECT event_id, event_type, CASE WHEN event_id % 3 = 2 THEN CAST(user_id AS VARCHAR) END AS user_id FROM events")
+def raw_files_blank_first_line(spark, sf_dir):
+    """Three folders: plain, with a blank line before the header, and with one more column."""
+    path = scratch_path(spark, "blank-first-line")
+    events = load(spark, sf_dir, "events")
+    short, long = "concat(event_id, ',', event_type)", "concat(event_id, ',', user_id, ',', event_type)"
+    for part, (line, header) in enumerate((
+            (short, "event_id,event_type"), (short, "\n\nevent_id,event_type"), (long, "event_id,user_id,event_type"))):
+        rows = events.where(F.col("event_id") % 3 == part).coalesce(1).select(F.expr(line).alias("value"))
+        first = spark.createDataFrame([(header,)], "value string")
+        first.unionByName(rows).coalesce(1).write.text(f"{path}/{part}", lineSep="\n")
+    raw = read_raw(spark, f"{path}/*", glob="*.txt")
+    return raw.select(F.col("event_id").cast("bigint").alias("event_id"), "event_type", "user_id")
+
+
+MANY = 32
+
+
+def _many_headers(spark: SparkSession, sf_dir: str) -> str:
+    """One folder of files per header; every seventh event has a value too many."""
+    path = scratch_path(spark, "many-headers")
+    events = load(spark, sf_dir, "events").select(
+        "event_id", (F.col("event_id") % MANY).alias("part"), F.expr(f"""concat(event_id, ',',
+            repeat('q,', int(event_id % {MANY})), event_type, if(event_id % 7 = 0, ',more', ''))""").alias("value"))
+    headers = spark.range(MANY).selectExpr(
+        "-1 AS event_id", "id AS part",
+        "concat('event_id,', array_join(transform(sequence(0, int(id)), x -> concat('q', x, ',')), ''), 'kind') AS value")
+    headers = headers.withColumn("value", F.expr("replace(value, concat('q', part, ','), '')"))
+    both = headers.unionByName(events).repartition(MANY, "part").sortWithinPartitions("part", "event_id")
+    both.select("part", "value").write.partitionBy("part").text(path)
+    return path
+
+
+@query("SELECT event_id, event_type AS kind FROM events")
+def raw_files_many_headers(spark, sf_dir):
+    raw = read_raw(spark, _many_headers(spark, sf_dir), glob="*.txt", columns=["event_id", "kind"])
+    return raw.select(F.col("event_id").cast("bigint").alias("event_id"), "kind")
+
+
+@query("SELECT event_id, event_type AS kind FROM events WHERE event_id % 7 <> 0")
+def raw_files_many_headers_drop(spark, sf_dir):
+    raw = read_raw(spark, _many_headers(spark, sf_dir), malformed="drop", glob="*.txt")
+    return raw.select(F.col("event_id").cast("bigint").alias("event_id"), "kind")
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     return with_calendar(orders, "o_orderdate").drop("day", "hour")
