@@ -40,8 +40,8 @@ def relative_humidity(dew_point: Column, temperature: Column) -> Column:
 
 
 def nan_to_null(value: Column) -> Column:
-    """Double with NaN replaced by NULL."""
-    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    """Double with NaN replaced by NULL; text that is no number is NULL."""
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 def label_range_id(label: Column) -> Column:

@@ -99,24 +99,25 @@ def cv_summary(cv_table: DataFrame, score: str = "cv_rmse") -> DataFrame:
         F.avg(score).alias("mean_cv_rmse"))
 
 
-def best_and_worst(df: DataFrame, key: str, k: int = 10) -> DataFrame:
+def best_and_worst(df: DataFrame, *keys: str, k: int = 10) -> DataFrame:
     """The k rows with the smallest and the k with the largest absolute error.
 
-    ``key`` must be unique: it breaks ties.
+    Ties go by the keys, then by prediction and label.
     """
-    columns = [key, "label", "prediction", "abs_error"]
+    columns = [*keys, "label", "prediction", "abs_error"]
     errors = with_errors(df).select(*columns)
 
     def ranked(kind: str, order: Column) -> DataFrame:
-        return errors.orderBy(order, F.col(key)).limit(k).select(F.lit(kind).alias("kind"), *columns)
+        return errors.orderBy(order, *keys, "prediction", "label").limit(k).select(F.lit(kind).alias("kind"), *columns)
 
     return ranked("best", F.col("abs_error").asc()).unionByName(
         ranked("worst", F.col("abs_error").desc()))
 
 
-def top_k(df: DataFrame, value: str, key: str, k: int) -> DataFrame:
-    """The k rows with the largest value, ties by key."""
-    return df.orderBy(F.col(value).desc(), F.col(key)).limit(k)
+def top_k(df: DataFrame, value: str, key: str, k: int | None = None) -> DataFrame:
+    """The k rows with the largest value, or all in that order; ties by key."""
+    ordered = df.orderBy(F.col(value).desc(), F.col(key))
+    return ordered if k is None else ordered.limit(k)
 
 
 def preview(df: DataFrame, columns: list[str], n: int = 10, order_by: list[str] | None = None) -> DataFrame:

@@ -29,15 +29,15 @@ FEATURES_15_NULLABLE = (
 )
 
 # Numeric candidates of the value-quality generation, by model.
-# Humidity is computed from the label and is therefore left out of the lists.
+# Left out, as they are the label or computed from it: temperature, humidity and
+# the difference of dew point and temperature.
 CANDIDATES_FOREST = (
-    "TEMP_num", "DEW_num", "WS_num", "SLP_num", "VIS_num",
+    "DEW_num", "WS_num", "SLP_num", "VIS_num",
     "LAT", "LON", "ELEVATION",
     "hour", "dayofyear", "month", "hour_sin", "hour_cos", "doy_sin", "doy_cos",
-    "dew_temp_diff",
 )
 CANDIDATES_BOOSTED = (
-    "TEMP_num", "DEW_num", "WS_num", "SLP_num", "VIS_num",
+    "DEW_num", "WS_num", "SLP_num", "VIS_num",
     "LAT", "LON", "ELEVATION",
     "hour", "dayofyear", "month",
 )

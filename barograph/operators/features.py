@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.base import _FitMultipleIterator
 from pyspark.ml.feature import (
     Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
 )
@@ -94,13 +95,37 @@ class SharedPrepPipeline(Pipeline):
         if not isinstance(estimator, Estimator) or not _only_for(estimator, paramMaps):
             return super().fitMultiple(dataset, paramMaps)
         prepared = Pipeline(stages=prep).fit(dataset)
-        rows = prepared.transform(dataset)
+        rows = prepared.transform(dataset).persist(StorageLevel.MEMORY_AND_DISK)
 
         def fit_one(index: int) -> PipelineModel:
             fitted = estimator.fit(rows, paramMaps[index])
             return PipelineModel([*prepared.stages, fitted])
 
-        return _FitMultipleIterator(fit_one, len(paramMaps))
+        return _Fits(fit_one, len(paramMaps), rows.unpersist)
+
+
+class _Fits:
+    """Iterator over the fits of a grid, for several threads; releases the rows after the last."""
+
+    def __init__(self, fit_one, count: int, release) -> None:
+        self.fit_one, self.count, self.release = fit_one, count, release
+        self.started = self.done = 0
+        self.lock = threading.Lock()
+
+    def __iter__(self):
+        return self
+
+    def __next__(self):
+        with self.lock:
+            index, self.started = self.started, self.started + 1
+        if index >= self.count:
+            raise StopIteration
+        fitted = self.fit_one(index)
+        with self.lock:
+            self.done += 1
+            if self.done == self.count:
+                self.release()
+        return index, fitted
 
 
 def _only_for(estimator, param_maps) -> bool:

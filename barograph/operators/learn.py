@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from barograph.operators.features import FeaturePlan, SharedPrepPipeline
 from barograph.operators.presets import Preset
+from barograph.operators.split import BUCKETS
 
 SEED = 42
 
@@ -40,8 +44,13 @@ def boosted(**params) -> GBTRegressor:
     return GBTRegressor(featuresCol="features", labelCol="label", seed=SEED, **params)
 
 
-FAMILIES = {"rf": forest, "gbt": boosted}
-MODEL_NAMES = {"rf": "RandomForest", "gbt": "GradientBoostedTrees"}
+def ridge(**params) -> LinearRegression:
+    """Linear regression for a grid over its own parameters."""
+    return LinearRegression(featuresCol="features", labelCol="label", **params)
+
+
+FAMILIES = {"rf": forest, "gbt": boosted, "linear": ridge}
+MODEL_NAMES = {"rf": "RandomForest", "gbt": "GradientBoostedTrees", "linear": "LinearRegression"}
 
 
 @dataclass(frozen=True)
@@ -70,8 +79,9 @@ def grid_search(
 ) -> Search:
     """Fit every grid point, refit the best on all rows of ``df``.
 
-    ``fold_column`` holds reproducible fold numbers; without it Spark draws the
-    folds. The caller persists ``df``.
+    ``fold_column`` holds reproducible fold numbers, or for a single split a
+    number below 100 of which the lower ``train_ratio`` trains; without it Spark
+    draws the folds. The caller persists ``df``.
     """
     estimator = FAMILIES[preset.family](**preset.fixed)
     builder = ParamGridBuilder()
@@ -83,6 +93,11 @@ def grid_search(
         estimatorParamMaps=param_maps,
         evaluator=RegressionEvaluator(labelCol="label", metricName="rmse"),
         parallelism=parallelism or preset.parallelism, seed=SEED)
+    grid = [{param.name: value for param, value in point.items()} for point in param_maps]
+    if preset.train_ratio is not None and fold_column:
+        started = time.monotonic()
+        model, scores = _single_split(df, common, preset.train_ratio, fold_column)
+        return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
     if preset.train_ratio is not None:
         tuner = TrainValidationSplit(trainRatio=preset.train_ratio, **common)
     else:
@@ -93,10 +108,26 @@ def grid_search(
     fitted = tuner.fit(df)
     seconds = time.monotonic() - started
     scores = fitted.avgMetrics if preset.train_ratio is None else fitted.validationMetrics
-    grid = [{param.name: value for param, value in point.items()} for point in param_maps]
     return Search(fitted.bestModel, grid, [float(s) for s in scores], seconds, plan.inputs)
 
 
+def _single_split(df: DataFrame, common: dict, ratio: float, column: str):
+    """Best model, refitted on all rows, and the scores on the rows above the ratio."""
+    estimator, points = common["estimator"], common["estimatorParamMaps"]
+    is_train = F.col(column) < round(ratio * BUCKETS)
+    train, held = df.where(is_train), df.where(~is_train)
+    fits = estimator.fitMultiple(train, points)
+    scores = [0.0] * len(points)
+
+    def measure(_) -> None:
+        index, model = next(fits)
+        scores[index] = float(common["evaluator"].evaluate(model.transform(held)))
+
+    with ThreadPool(min(common["parallelism"], len(points))) as pool:
+        pool.map(inheritable_thread_target(df.sparkSession)(measure), range(len(points)))
+    return estimator.fit(df, points[scores.index(min(scores))]), scores
+
+
 def _ddl(value: object) -> str:
     if isinstance(value, int):
         return "int"
@@ -139,13 +170,20 @@ def coefficient_table(df: DataFrame, model, inputs: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "term string, coefficient double")
 
 
-def training_row(search: Search, preset_name: str, family: str, train_rows: int, metrics) -> dict:
-    """Metrics row of a training run: best parameters, training errors, CV score."""
+def training_row(
+    search: Search, preset_name: str, family: str, train_rows: int, metrics, fraction: float = 1.0,
+) -> dict:
+    """Metrics row of a training run: best parameters, training errors, CV score.
+
+    ``train_rows`` are the rows used, ``fraction`` their share of the table.
+    """
     best = search.best
-    row = {"model": MODEL_NAMES[family], "mode": preset_name, "train_rows": int(train_rows)}
+    row = {"model": MODEL_NAMES[family], "mode": preset_name, "train_rows": int(train_rows), "fraction": float(fraction)}
     if family == "rf":
         row.update(num_trees=int(best.getNumTrees), max_depth=int(best.getMaxDepth()),
                    min_instances=int(best.getMinInstancesPerNode()))
+    elif family == "linear":
+        row.update(reg_param=float(best.getRegParam()))
     else:
         row.update(max_iter=int(best.getMaxIter()), max_depth=int(best.getMaxDepth()),
                    step_size=float(best.getStepSize()), num_trees=int(best.getNumTrees))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from barograph.operators.split import BUCKETS
+
 
 @dataclass(frozen=True)
 class Preset:
@@ -21,6 +23,11 @@ class Preset:
     train_ratio: float | None = None
     fixed: dict[str, object] = field(default_factory=dict)
 
+    @property
+    def fold_count(self) -> int:
+        """Number of values a fold column has: hundredths for a single split."""
+        return self.folds if self.train_ratio is None else BUCKETS
+
 
 # Grids, folds and concurrency by preset name.
 PRESETS = {

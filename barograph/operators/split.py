@@ -15,6 +15,8 @@ def hash_bucket(df: DataFrame, keys: list[str], buckets: int = BUCKETS, salt: st
     It depends on the key values only, so the result is the same for every
     partitioning and run. Another ``salt`` gives an independent assignment.
     """
+    if not keys:
+        raise ValueError("hash_bucket needs at least one key column")
     types = {field.name: field.dataType for field in df.schema.fields}
 
     def text(name: str) -> Column:

@@ -32,28 +32,41 @@ from barograph.sources.tables import (
 )
 
 
+#: Key columns by which sample rows are chosen, as far as a table has them.
+ROW_KEYS = ("STATION", "timestamp")
+
+
+def _write_predictions(scored: DataFrame, path: str, rows: int, keys, kind: str = "parquet") -> None:
+    """Sample of about ``rows`` scored rows, chosen by their keys, or else by label and prediction."""
+    chosen = available(scored, keys) or ["label", "prediction"]
+    write_sample(scored, path, rows, keys=chosen, kind=kind)
+
+
 def run_baseline(
     spark: SparkSession, train_path: str, test_path: str, output_path: str,
-    fraction: float = 0.1, imputed: bool = False, target: str = "temperature",
+    fraction: float = 1.0, imputed: bool = False, target: str = "temperature",
+    prediction_rows: int = 1_000, keys=ROW_KEYS,
 ) -> dict:
-    """Linear baseline on a sample: complete cases, or 15 features with medians.
+    """Linear baseline: complete cases, or 15 features with medians.
 
+    ``fraction`` may bound the training rows; the test rows are always all.
     Row counts before and after dropping incomplete rows are both reported.
     """
     features = [*FEATURES_15_COMPLETE, *FEATURES_15_NULLABLE] if imputed else list(FEATURES_14)
 
-    def load(path: str) -> DataFrame:
-        sample = sample_rows(read_table(spark, path), fraction)
-        return select_features(sample, features, target)
+    def load(path: str, share: float) -> DataFrame:
+        rows = read_table(spark, path)
+        rows = rows if share >= 1.0 else sample_rows(rows, share)
+        return select_features(rows, features, target, keep=tuple(available(rows, keys)))
 
-    train_all, test_all = load(train_path), load(test_path)
-    if imputed:
-        plan = feature_plan(features, impute=FEATURES_15_NULLABLE, handle_invalid="skip")
-        train, test = train_all, test_all
-    else:
-        plan = feature_plan(features, impute=(), handle_invalid="error")
-        train, test = complete_cases(train_all, features), complete_cases(test_all, features)
-    with persisted(train), persisted(test):
+    train_all, test_all = load(train_path, fraction), load(test_path, 1.0)
+    with persisted(train_all), persisted(test_all):
+        if imputed:
+            plan = feature_plan(features, impute=FEATURES_15_NULLABLE, handle_invalid="skip")
+            train, test = train_all, test_all
+        else:
+            plan = feature_plan(features, impute=(), handle_invalid="error")
+            train, test = complete_cases(train_all, features), complete_cases(test_all, features)
         model = Pipeline(stages=[*plan.stages, baseline_linear()]).fit(train)
         row = {"model": "LinearRegressionImputed" if imputed else "LinearRegression"}
         measured = {
@@ -62,9 +75,12 @@ def run_baseline(
         }
         for name in ("rows", "rmse", "r2", "mae"):
             row.update({f"{part}_{name}": measured[part][name] for part in measured})
-        row["train_rows_sampled"], row["test_rows_sampled"] = train_all.count(), test_all.count()
-        scored = model.transform(test).select("label", "prediction")
-        write_sample(scored, f"{output_path}/sample_predictions", 1000)
+        row["train_rows_read"], row["test_rows_read"] = train_all.count(), test_all.count()
+        row["fraction"] = float(fraction)
+        scored = model.transform(test)
+        _write_predictions(
+            scored.select(*available(scored, keys), "label", "prediction"),
+            f"{output_path}/sample_predictions", prediction_rows, keys)
     write_result(rows_table(spark, [row]), f"{output_path}/metrics")
     write_result(
         coefficient_table(train, model.stages[-1], plan.inputs), f"{output_path}/coefficients")
@@ -75,32 +91,38 @@ def run_baseline(
 def run_training(
     spark: SparkSession, train_path: str, output_path: str, preset_name: str,
     features=FEATURES_14, target: str = "temperature", partitions: int | None = None,
-    fold_keys=("STATION", "timestamp"), handle_invalid: str = "keep", parallelism: int | None = None,
+    fold_keys=ROW_KEYS, handle_invalid: str = "keep", parallelism: int | None = None,
+    prediction_rows: int = 10_000,
 ) -> dict:
-    """Grid search on a train table; writes model, metrics, scores and importances."""
-    preset = PRESETS[preset_name]
+    """Grid search on a train table; writes model, metrics, scores and importances.
+
+    ``preset_name`` names a preset, or is one.
+    """
+    preset = PRESETS[preset_name] if isinstance(preset_name, str) else preset_name
+    mode = preset_name if isinstance(preset_name, str) else "custom"
     rows = read_table(spark, train_path)
     if preset.fraction < 1.0:
         rows = sample_rows(rows, preset.fraction)
     keys = available(rows, fold_keys)
     if keys:
-        rows = with_fold(rows, keys, preset.folds)
+        rows = with_fold(rows, keys, preset.fold_count)
     data = spread(
-        select_features(rows, features, target, keep=("fold",) if keys else ()), partitions)
+        select_features(rows, features, target, keep=("fold", *keys) if keys else ()), partitions)
     with persisted(data):
         used, _ = split_empty_columns(data, features)
         plan = feature_plan(used, handle_invalid=handle_invalid)
         search = grid_search(data, plan, preset, "fold" if keys else None, parallelism)
-        scored = materialize(search.model.transform(data).select("label", "prediction"))
+        scored = materialize(search.model.transform(data).select(*keys, "label", "prediction"))
     metrics = regression_metrics(scored).first()
-    row = training_row(search, preset_name, preset.family, metrics["rows"], metrics)
-    importances = importance_table(data, search.best, plan.inputs)
+    row = training_row(search, mode, preset.family, metrics["rows"], metrics, preset.fraction)
     write_result(rows_table(spark, [row]), f"{output_path}/metrics")
     write_result(cv_table(data, search), f"{output_path}/cv_results")
-    write_result(
-        top_k(importances, "importance", "feature_index", len(plan.inputs)),
-        f"{output_path}/feature_importances")
-    write_sample(scored, f"{output_path}/sample_predictions", 10_000)
+    if preset.family == "linear":
+        write_result(coefficient_table(data, search.best, plan.inputs), f"{output_path}/coefficients")
+    else:
+        importances = importance_table(data, search.best, plan.inputs)
+        write_result(top_k(importances, "importance", "feature_index"), f"{output_path}/feature_importances")
+    _write_predictions(scored, f"{output_path}/sample_predictions", prediction_rows, fold_keys)
     save_model(search.model, f"{output_path}/model")
     return row
 
@@ -108,14 +130,19 @@ def run_training(
 def run_encoded_training(
     spark: SparkSession, input_path: str, output_path: str, preset_name: str | None,
     numeric, categorical=(), split_keys=("STATION", "DATE"), partitions: int | None = None,
-    scale: bool = False, parallelism: int | None = None,
+    scale: bool = False, parallelism: int | None = None, prediction_rows: int = 1_000_000,
+    importance_rows: int | None = None,
 ) -> dict:
     """Training on the value-quality table with encoded categories.
 
     ``preset_name=None`` fits the linear model on an 80/20 split without a
-    search. Candidates the table lacks are skipped, as are empty ones.
+    search. Candidates the table lacks are skipped, as are empty ones; at least
+    one of the split keys must be there. Hour and day come from ``ts``, or from
+    the text ``DATE`` where there is no ``ts``.
     """
     df = read_table(spark, input_path).where(F.col("label").isNotNull())
+    if "ts" not in df.columns and "DATE" in df.columns:
+        df = df.withColumn("ts", F.try_to_timestamp("DATE"))
     if "ts" in df.columns:
         df = with_day_of_year(df.withColumn("hour", F.hour("ts")), "ts")
     df = spread(clean_numbers(df, available(df, numeric)), partitions)
@@ -124,7 +151,7 @@ def run_encoded_training(
     categories = available(df, categorical)
     preset = PRESETS[preset_name] if preset_name else None
     if preset:
-        table = with_fold(table, available(df, split_keys), preset.folds)
+        table = with_fold(table, available(df, split_keys), preset.fold_count)
     train, test = split_parts(table)
     with persisted(train), persisted(test):
         used, _ = split_empty_columns(train, available(df, numeric))
@@ -137,9 +164,9 @@ def run_encoded_training(
             model, family = search.model, preset.family
         seconds = time.monotonic() - started
         vectors = model.transform(test)
-        scored = materialize(vectors.select("label", "prediction"))
-        is_train = F.col("split") == "train"
-        baseline = mean_baseline(table, is_train).first()["baseline_rmse"]
+        scored = materialize(vectors.select(*available(df, split_keys), "label", "prediction"))
+        both = train.select("label", F.lit(True).alias("is_train")).union(test.select("label", F.lit(False)))
+        baseline = mean_baseline(both, F.col("is_train")).first()["baseline_rmse"]
     row = {
         "model": family, "strategy": preset_name or "linear",
         "rmse": regression_metrics(scored).first()["rmse"],
@@ -151,16 +178,16 @@ def run_encoded_training(
         write_result(cv_table(df, search, "rmse"), f"{output_path}/cv_results")
         importances = importance_table(vectors, search.best, plan.inputs)
         write_result(
-            top_k(importances, "importance", "feature_index", 50),
+            top_k(importances, "importance", "feature_index", importance_rows),
             f"{output_path}/feature_importances")
-    write_sample(scored, f"{output_path}/sample_predictions", 1_000_000, kind="csv")
+    _write_predictions(scored, f"{output_path}/sample_predictions", prediction_rows, split_keys, kind="csv")
     save_model(model, f"{output_path}/model")
     return row
 
 
 def run_evaluation(
     spark: SparkSession, model_path: str, test_path: str, output_path: str,
-    features=FEATURES_14, target: str = "temperature", key=("STATION", "timestamp"), k: int = 10,
+    features=FEATURES_14, target: str = "temperature", key=ROW_KEYS, k: int = 10,
 ) -> dict[str, DataFrame]:
     """Score the test rows once, write the error table and report from it.
 
@@ -180,12 +207,11 @@ def run_evaluation(
         F.col("mae").alias("test_mae"), F.col("mse").alias("test_mse"),
         F.col("rows").alias("test_rows"))
     write_result(metrics, f"{output_path}/test_metrics")
-    ranked = errors.withColumn("row_key", F.concat_ws("|", *[F.col(c).cast("string") for c in keys]))
     return {
-        "metrics": metrics,
+        "metrics": read_result(spark, f"{output_path}/test_metrics"),
         "error_stats": summary_stats(errors, ["error", "abs_error"]),
         "by_range": errors_by_range(errors),
-        "best_and_worst": best_and_worst(ranked, "row_key", k),
+        "best_and_worst": best_and_worst(errors, *keys, k=k),
     }
 
 

@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the operators rely on. A caller's own value always wins.
+# Settings the operators rely on. A value the caller has set always wins.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,6 +22,8 @@ SESSION_DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+_scratch: list[str] = []
+
 
 def build_session(app_name: str = "barograph", **overrides: str) -> SparkSession:
     """Session with adaptive execution on and timestamps read as UTC.
@@ -37,9 +39,11 @@ def build_session(app_name: str = "barograph", **overrides: str) -> SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session defaults to a session built elsewhere."""
+    """Apply the session defaults to a session built elsewhere, where it has none of its own."""
+    own = spark.conf.getAll
     for key, value in SESSION_DEFAULTS.items():
-        spark.conf.set(key, value)
+        if key not in own:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -63,7 +67,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path for an intermediate table, below the shared folder."""
-    return f"{shared_folder(spark)}/barograph/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/barograph/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables made so far; returns how many there were.
+
+    For the end of a job, when no table that reads them is needed any more.
+    """
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    count = len(_scratch)
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(configuration).delete(path, True)
+    return count
 
 
 @contextmanager

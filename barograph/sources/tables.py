@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barograph.operators.split import hash_bucket
+
 PARTITION_KEYS = ("year", "month")
 
 
@@ -52,8 +54,8 @@ def replace_partitions(
     writer.parquet(path)
 
 
-def write_bounded(df: DataFrame, path: str, files: int = 64, keys=()) -> None:
-    """Overwrite with at most ``files`` writing tasks.
+def write_bounded(df: DataFrame, path: str, files: int, keys=()) -> None:
+    """Overwrite with at most ``files`` writing tasks; choose them by the table's size.
 
     ``repartition`` keeps the work before the write parallel; ``coalesce`` would
     run it in ``files`` tasks.
@@ -83,14 +85,35 @@ def read_result(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+#: Parts of the hash range a sample by key is taken from.
+SAMPLE_PARTS = 1_000_000
+
+
+def key_sample(df: DataFrame, rows: int, keys: list[str], total: int) -> DataFrame:
+    """About ``rows`` of ``total`` rows, chosen by a hash of ``keys``: the same in every run.
+
+    A filter, so nothing is shuffled and no task gathers the sample.
+    """
+    if rows >= total:
+        return df
+    return df.where(hash_bucket(df, keys, SAMPLE_PARTS, salt="sample") < rows * SAMPLE_PARTS // total)
+
+
 def write_sample(
-    df: DataFrame, path: str, rows: int, order_by: list[str] | None = None, kind: str = "parquet"
+    df: DataFrame, path: str, rows: int, order_by: list[str] | None = None, kind: str = "parquet",
+    keys: list[str] | None = None, total: int | None = None,
 ) -> None:
-    """Overwrite a sample of at most ``rows`` rows.
+    """Overwrite a sample: the first ``rows`` rows by ``order_by``, or about as many by a hash of ``keys``.
 
-    Ordered by a key the sample is the same in every run.
+    For the latter ``total`` is the number of rows of ``df``, counted where it is
+    not given. The ordered form is meant for a few thousand rows.
     """
-    sample = (df.orderBy(*order_by) if order_by else df).limit(rows)
+    if (order_by is None) == (keys is None):
+        raise ValueError("write_sample needs either order_by or keys")
+    if keys is not None:
+        sample = key_sample(df, rows, keys, df.count() if total is None else total)
+    else:
+        sample = df.orderBy(*order_by).limit(rows)
     writer = sample.write.mode("overwrite")
     if kind == "csv":
         writer.csv(path, header=True)

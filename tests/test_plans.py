@@ -79,7 +79,7 @@ def test_training_evaluation_and_comparison(spark, base, small_presets):
     assert row["train_rows"] == counts["train"]
     run_training(spark, train, f"{folder}/gbt", "gbt-small")
     baseline = run_baseline(spark, train, test, f"{folder}/lr", fraction=1.0)
-    assert baseline["train_rows"] < baseline["train_rows_sampled"] == counts["train"]
+    assert baseline["train_rows"] < baseline["train_rows_read"] == counts["train"]
     imputed = run_baseline(spark, train, test, f"{folder}/lr15", fraction=1.0, imputed=True)
     assert imputed["train_rows"] > baseline["train_rows"]
 

@@ -28,6 +28,12 @@ def put(folder, name, text):
         path.write_text(text)
 
 
+def scans(df):
+    """File scans of the rows and of the table of headers."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan text") + plan.count("Scan ExistingRDD")
+
+
 def rows(df, *columns):
     return sorted(map(tuple, df.select(*columns).collect()), key=str)
 
@@ -56,13 +62,13 @@ def test_compressed_file(spark, tmp_path):
     assert rows(read_raw(spark, str(tmp_path), glob="*.csv.gz"), "STATION", "TMP") == [("1", "x")]
 
 
-def test_wanted_columns_group_by_place(spark, tmp_path):
+def test_wanted_columns(spark, tmp_path):
     put(tmp_path, "a.csv", "STATION,TMP,Q1\n1,x,p\n")
     put(tmp_path, "b.csv", "STATION,TMP,Q2,Q3\n2,y,p,q\n")
     df = read_raw(spark, str(tmp_path), columns=["STATION", "TMP", "CIG"])
     assert df.columns == ["STATION", "TMP"]
     assert rows(df, "STATION", "TMP") == [("1", "x"), ("2", "y")]
-    assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert scans(df) == 2
 
 
 def test_wanted_columns_with_dropping(spark, tmp_path):
@@ -70,7 +76,41 @@ def test_wanted_columns_with_dropping(spark, tmp_path):
     put(tmp_path, "b.csv", "STATION,TMP,Q2\n2,y,p\n8,y,p,q\n")
     df = read_raw(spark, str(tmp_path), malformed="drop", columns=["STATION", "TMP"])
     assert rows(df, "STATION", "TMP") == [("1", "x"), ("2", "y")]
-    assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert scans(df) == 2
+
+
+def test_file_with_a_blank_first_line_keeps_its_rows(spark, tmp_path):
+    put(tmp_path, "a.csv", "STATION,TMP\n1,x\n")
+    put(tmp_path, "b[1].csv", "\n  \nSTATION,TMP\n2,y\n\n")
+    put(tmp_path, "blank.csv", "\n\n")
+    assert rows(read_raw(spark, str(tmp_path)), "STATION", "TMP") == [("1", "x"), ("2", "y")]
+    put(tmp_path, "c.csv", "STATION,CIG,TMP\n3,c,z\n")
+    df = read_raw(spark, str(tmp_path))
+    assert rows(df, "STATION", "TMP", "CIG") == [("1", "x", None), ("2", "y", None), ("3", "z", "c")]
+
+
+@pytest.mark.parametrize("malformed", ["keep", "drop"])
+def test_number_of_scans_does_not_depend_on_headers(spark, tmp_path, malformed):
+    for i in range(35):
+        put(tmp_path, f"f{i:02}.csv", f"STATION,{''.join(f'Q{j},' for j in range(i))}TMP\n{i},{'q,' * i}t{i}\n{i},short\n")
+    df = read_raw(spark, str(tmp_path), malformed=malformed)
+    whole = [row for row in rows(df, "STATION", "TMP") if row[1] and row[1] != "short"]
+    assert whole == sorted((str(i), f"t{i}") for i in range(35))
+    assert df.count() == (70 if malformed == "keep" else 36) and scans(df) == 2
+
+
+def test_given_header_needs_one_scan(spark, tmp_path):
+    put(tmp_path, "a.csv", "STATION,TMP\n1,x\n")
+    put(tmp_path, "b.csv", "STATION,TMP\n2,y\n")
+    df = read_raw(spark, str(tmp_path), header="STATION,TMP")
+    assert rows(df, "STATION", "TMP") == [("1", "x"), ("2", "y")] and scans(df) == 1
+
+
+def test_quoted_values_and_byte_order_mark(spark, tmp_path):
+    put(tmp_path, "a.csv", "\ufeffSTATION,TMP\n1,\"a,b\"\n2,\n")
+    put(tmp_path, "b.csv", "TMP,STATION,X\n\"c,d\",3,\n")
+    assert rows(read_raw(spark, str(tmp_path), malformed="drop"), "STATION", "TMP") == [
+        ("1", "a,b"), ("2", None), ("3", "c,d")]
 
 
 def test_malformed_rows_drop_whatever_is_selected(spark, tmp_path):
@@ -83,7 +123,7 @@ def test_malformed_rows_drop_whatever_is_selected(spark, tmp_path):
 
 
 def test_workers_need_no_package(tmp_path):
-    """The tasks of ``read_raw`` run where only Spark and pyarrow are installed."""
+    """The tasks of ``read_raw`` run where only Spark is installed."""
     put(tmp_path, "raw/a.csv", "STATION,TMP\n1,x\n")
     script = (
         f"import sys; sys.path.insert(0, {str(ROOT)!r})\n"
@@ -184,7 +224,7 @@ def test_result_tables(spark, tmp_path):
 def test_sample_sink(spark, tmp_path):
     write_sample(months(spark), str(tmp_path / "p"), 10, order_by=["id"])
     assert rows(read_table(spark, str(tmp_path / "p")), "id") == sorted([(i,) for i in range(10)], key=str)
-    write_sample(months(spark), str(tmp_path / "c"), 7, kind="csv")
+    write_sample(months(spark), str(tmp_path / "c"), 7, order_by=["id"], kind="csv")
     assert read_result(spark, str(tmp_path / "c")).count() == 7
 
 

@@ -223,22 +223,43 @@ def time_split_counts(spark, sf_dir):
     return count_by(time_split(orders, "o_orderdate", "1998-10-01 00:00:00"), "split", "year")
 
 
-@query()
+def _near_share(count, total, share: float):
+    """Whether a random part has its share of the rows within four standard deviations."""
+    return F.abs(count - total * share) <= 4 * F.sqrt(total * share * (1 - share)) + 1
+
+
+@query("SELECT count(*) AS rows, TRUE AS near_share, TRUE AS disjoint FROM orders")
 def random_split_counts(spark, sf_dir):
     train, test = random_split(load(spark, sf_dir, "orders").select("o_orderkey"))
-    parts = train.select(F.lit("train").alias("split")).unionByName(
-        test.select(F.lit("test").alias("split")))
-    return split_ratio_report(parts)
+    parts = train.select("o_orderkey", F.lit("train").alias("split")).unionByName(
+        test.select("o_orderkey", F.lit("test").alias("split")))
+    shares = split_ratio_report(parts)  # one row per part
+    known = parts.agg(F.count("*").alias("rows"), F.count_distinct("o_orderkey").alias("keys"),
+                      F.count_if(F.col("split") == "train").alias("train"))
+    return known.crossJoin(shares.agg(F.count("*").alias("parts"))).select(
+        "rows", _near_share(F.col("train"), F.col("rows"), 0.7).alias("near_share"),
+        ((F.col("keys") == F.col("rows")) & (F.col("parts") == 2)).alias("disjoint"))
+
+
+def _sample(spark: SparkSession, sf_dir: str, share: float) -> DataFrame:
+    """The size of a sample held against its table's."""
+    rows = load(spark, sf_dir, "lineitem").select("l_orderkey")
+    found = sample_rows(rows, share).agg(F.count("*").alias("n"))
+    return found.crossJoin(rows.agg(F.count("*").alias("rows"))).select(
+        "rows", _near_share(F.col("n"), F.col("rows"), share).alias("near_share"))
+
+
+_SAMPLE_SQL = "SELECT count(*) AS rows, TRUE AS near_share FROM lineitem"
 
 
-@query()
+@query(_SAMPLE_SQL)
 def sample_tenth(spark, sf_dir):
-    return sample_rows(load(spark, sf_dir, "lineitem"), 0.1)
+    return _sample(spark, sf_dir, 0.1)
 
 
-@query()
+@query(_SAMPLE_SQL)
 def sample_hundredth(spark, sf_dir):
-    return sample_rows(load(spark, sf_dir, "lineitem"), 0.01)
+    return _sample(spark, sf_dir, 0.01)
 
 
 @query("SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, "

@@ -28,7 +28,7 @@ from barograph.operators.quality import complete_cases, fit_median_fill
 from barograph.operators.split import hash_split, split_parts, with_fold
 from barograph.session import persisted
 from workload.cleaning import GAPS, GAPS_SQL, clean, with_gaps
-from workload.common import Registry, every, is_train_sql, load, r, rounded, stored
+from workload.common import Registry, every, hash_bucket_sql, is_train_sql, load, r, rounded, stored
 from workload.packed import clean_sql
 
 registry = Registry()
@@ -226,8 +226,9 @@ def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
         "linear_one": fit_weather(train, WEATHER[:1]).transform(rows),
         "linear_two": fit_weather(train, WEATHER).transform(rows),
     }
-    measured = union_metrics({
-        name: regression_metrics(df, "split") for name, df in scored.items()})
+    # A handful of rows, written once: what follows reads them several times.
+    measured = stored(union_metrics({
+        name: regression_metrics(df, "split") for name, df in scored.items()}), "measured")
 
     def part(name: str) -> DataFrame:
         return measured.where(F.col("split") == name).select("model", *[
@@ -287,36 +288,60 @@ def _model_rows(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, sf_dir: str, preset: Preset):
-    data = with_fold(_model_rows(spark, sf_dir), ["event_id"], preset.folds)
+    data = with_fold(_model_rows(spark, sf_dir), ["event_id"], preset.fold_count)
     with persisted(data):
         return data, grid_search(data, feature_plan(FEATURES_14), preset, "fold")
 
 
-@query()
+def _grid_sql(columns: str, *points: str) -> str:
+    """SQL: the grid points of a search, each with a plausible score."""
+    return f"SELECT *, TRUE AS plausible FROM (VALUES {', '.join(points)}) AS t({columns})"
+
+
+def _held_against_constant(data: DataFrame, table: DataFrame, score: str = "cv_rmse") -> DataFrame:
+    """The grid with each score held against the deviation of the label, the error of its mean.
+
+    Deep trees may do a little worse than the mean where the features tell nothing.
+    """
+    spread = data.agg(F.stddev_pop("label")).first()[0]
+    return table.withColumn("plausible", F.col(score).between(1e-9, spread * 1.2)).drop(score)
+
+
+@query(_grid_sql('"numTrees", "maxDepth", "minInstancesPerNode"', *[
+    f"(CAST({n} AS INTEGER), CAST({d} AS INTEGER), CAST(1 AS INTEGER))" for n in (10, 20) for d in (5, 10)]))
 def rf_cv_results(spark, sf_dir):
-    return cv_table(*_search(spark, sf_dir, PRESETS["rf-test"]))
+    data, search = _search(spark, sf_dir, PRESETS["rf-test"])
+    return _held_against_constant(data, cv_table(data, search))
 
 
-@query()
+@query(_grid_sql('"maxIter", "maxDepth", "stepSize"', *[
+    f"(CAST({n} AS INTEGER), CAST(3 AS INTEGER), CAST(0.1 AS DOUBLE))" for n in (5, 10)]))
 def gbt_cv_results(spark, sf_dir):
     grid = {"maxIter": [5, 10], "maxDepth": [3], "stepSize": [0.1]}
-    return cv_table(*_search(spark, sf_dir, Preset("gbt", grid, folds=2)))
+    data, search = _search(spark, sf_dir, Preset("gbt", grid, folds=2))
+    return _held_against_constant(data, cv_table(data, search))
 
 
-@query()
+@query(_grid_sql('"maxIter", "maxDepth", "stepSize"', *[
+    f"(CAST(5 AS INTEGER), CAST({d} AS INTEGER), CAST(0.1 AS DOUBLE))" for d in (2, 3)]))
 def gbt_single_split_results(spark, sf_dir):
     grid = {"maxIter": [5], "maxDepth": [2, 3], "stepSize": [0.1]}
-    return cv_table(*_search(
-        spark, sf_dir, Preset("gbt", grid, train_ratio=0.8, fixed={"subsamplingRate": 0.8})), "rmse")
+    data, search = _search(
+        spark, sf_dir, Preset("gbt", grid, train_ratio=0.8, fixed={"subsamplingRate": 0.8}))
+    return _held_against_constant(data, cv_table(data, search, "rmse"), "rmse")
 
 
-@query()
+@query("SELECT TRUE AS ordered, TRUE AS positive")
 def cv_score_summary(spark, sf_dir):
     grid = {"numTrees": [5, 10], "maxDepth": [4], "minInstancesPerNode": [1]}
-    return cv_summary(cv_table(*_search(spark, sf_dir, Preset("rf", grid, folds=2))))
+    found = cv_summary(cv_table(*_search(spark, sf_dir, Preset("rf", grid, folds=2))))
+    return found.select(
+        (F.col("mean_cv_rmse").between(F.col("best_cv_rmse"), F.col("worst_cv_rmse"))).alias("ordered"),
+        (F.col("best_cv_rmse") > 0).alias("positive"))
 
 
-@query()
+@query(clean_sql() + """ SELECT 'RandomForest' AS model, count(*) AS train_rows, CAST(1 AS DOUBLE) AS fraction,
+  CAST(10 AS INTEGER) AS num_trees, CAST(5 AS INTEGER) AS max_depth, TRUE AS fits, TRUE AS took_time FROM kept""")
 def rf_training_metrics(spark, sf_dir):
     data = with_fold(_model_rows(spark, sf_dir), ["event_id"], 2)
     preset = Preset("rf", {"numTrees": [10], "maxDepth": [5], "minInstancesPerNode": [1]}, folds=2)
@@ -324,7 +349,11 @@ def rf_training_metrics(spark, sf_dir):
         search = grid_search(data, feature_plan(FEATURES_14), preset, "fold")
         metrics = regression_metrics(search.model.transform(data)).first()
     row = training_row(search, "rf-one-point", "rf", metrics["rows"], metrics)
-    return rows_table(spark, [row])
+    return rows_table(spark, [row]).select(
+        "model", "train_rows", "fraction", F.col("num_trees").cast("int").alias("num_trees"),
+        F.col("max_depth").cast("int").alias("max_depth"),
+        ((F.col("train_r2") > 0) & (F.col("train_mae") <= F.col("train_rmse"))).alias("fits"),
+        (F.col("training_seconds") > 0).alias("took_time"))
 
 
 def _importances(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
@@ -332,15 +361,22 @@ def _importances(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
     plan = feature_plan(FEATURES_14)
     with persisted(data):
         model = Pipeline(stages=[*plan.stages, estimator]).fit(data)
-    return top_k(importance_table(data, model.stages[-1], plan.inputs), "importance", "feature_index", 10)
+    table = importance_table(data, model.stages[-1], plan.inputs)
+    total = table.agg(F.sum("importance"), F.min("importance")).first()
+    return top_k(table, "importance", "feature_index", 10).agg(
+        F.count("*").alias("listed"), F.lit(abs(total[0] - 1) < 1e-9 and total[1] >= 0).alias("shares"),
+        (F.count_distinct("feature") == 10).alias("distinct_features"))
+
+
+_IMPORTANCES_SQL = "SELECT CAST(10 AS BIGINT) AS listed, TRUE AS shares, TRUE AS distinct_features"
 
 
-@query()
+@query(_IMPORTANCES_SQL)
 def rf_feature_importances(spark, sf_dir):
     return _importances(spark, sf_dir, forest(numTrees=20, maxDepth=5))
 
 
-@query()
+@query(_IMPORTANCES_SQL)
 def gbt_feature_importances(spark, sf_dir):
     return _importances(spark, sf_dir, boosted(maxIter=10, maxDepth=3))
 
@@ -352,25 +388,32 @@ def _test_metrics(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
     with persisted(train):
         model = Pipeline(stages=[*feature_plan(FEATURES_14).stages, estimator]).fit(train)
     baseline = mean_baseline(rows, F.col("split") == "train").first()["baseline_rmse"]
-    return regression_metrics(model.transform(test)).withColumn("baseline_rmse", F.lit(baseline))
+    found = regression_metrics(model.transform(test))
+    return found.select("rows", (F.col("rmse") < baseline).alias("below_baseline"),
+                        (F.abs(F.col("mse") - F.col("rmse") * F.col("rmse")) < 1e-6).alias("consistent"))
+
+
+_TEST_SQL = clean_sql() + f""" SELECT count(*) AS rows, TRUE AS below_baseline, TRUE AS consistent FROM kept
+  WHERE NOT {is_train_sql('event_id')}"""
 
 
-@query()
+@query(_TEST_SQL)
 def rf_test_metrics(spark, sf_dir):
     return _test_metrics(spark, sf_dir, forest(numTrees=20, maxDepth=5))
 
 
-@query()
+@query(_TEST_SQL)
 def gbt_test_metrics(spark, sf_dir):
     return _test_metrics(spark, sf_dir, boosted(maxIter=10, maxDepth=3))
 
 
-@query()
+@query(_TEST_SQL)
 def lr_imputed_test_metrics(spark, sf_dir):
     return _test_metrics(spark, sf_dir, baseline_linear())
 
 
-@query()
+@query(clean_sql() + f""" SELECT count(*) AS rows, TRUE AS explains FROM kept
+  WHERE NOT {hash_bucket_sql('event_id')} < 80""")
 def encoded_feature_pipeline(spark, sf_dir):
     """Imputed, encoded and scaled features with a default linear model."""
     rows = hash_split(
@@ -378,7 +421,7 @@ def encoded_feature_pipeline(spark, sf_dir):
     train, test = split_parts(rows)
     plan = feature_plan(FEATURES_14, ["REPORT_TYPE"], suffix="_imp", scale=True)
     model = Pipeline(stages=[*plan.stages, linear()]).fit(train)
-    return regression_metrics(model.transform(test))
+    return regression_metrics(model.transform(test)).select("rows", (F.col("r2") > 0).alias("explains"))
 
 
 _ITEM_FEATURES = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
@@ -399,26 +442,33 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _search_items(spark: SparkSession, sf_dir: str, preset: Preset) -> DataFrame:
-    data = with_fold(_items(spark, sf_dir), ["l_orderkey"], preset.folds)
+    data = with_fold(_items(spark, sf_dir), ["l_orderkey"], preset.fold_count)
     with persisted(data):
-        return cv_table(data, grid_search(data, feature_plan(_ITEM_FEATURES), preset, "fold"))
+        score = "cv_rmse" if preset.train_ratio is None else "rmse"
+        return _held_against_constant(
+            data, cv_table(data, grid_search(data, feature_plan(_ITEM_FEATURES), preset, "fold"), score), score)
 
 
-@query()
+@query("SELECT count(*) AS rows, TRUE AS below_constant, TRUE AS consistent FROM lineitem")
 def lr_lineitem_metrics(spark, sf_dir):
     data = _items(spark, sf_dir)
     with persisted(data):
         model = Pipeline(stages=[*feature_plan(_ITEM_FEATURES).stages, baseline_linear()]).fit(data)
         row = regression_metrics(model.transform(data)).first()
-    return rows_table(spark, [row.asDict()])
+        spread = data.agg(F.stddev_pop("label")).first()[0]
+    return rows_table(spark, [{
+        "rows": row["rows"], "below_constant": row["rmse"] < spread,
+        "consistent": abs(1 - row["mse"] / spread ** 2 - row["r2"]) < 1e-9}])
 
 
-@query()
+@query(_grid_sql('"numTrees", "maxDepth", "minInstancesPerNode"', *[
+    f"(CAST({n} AS INTEGER), CAST({d} AS INTEGER), CAST(1 AS INTEGER))" for n in (10, 20) for d in (5, 10)]))
 def rf_lineitem_cv_results(spark, sf_dir):
     return _search_items(spark, sf_dir, PRESETS["rf-test"])
 
 
-@query()
+@query(_grid_sql('"maxIter", "maxDepth", "stepSize"', *[
+    f"(CAST(10 AS INTEGER), CAST({d} AS INTEGER), CAST(0.1 AS DOUBLE))" for d in (2, 3)]))
 def gbt_lineitem_single_split(spark, sf_dir):
     grid = {"maxIter": [10], "maxDepth": [2, 3], "stepSize": [0.1]}
     return _search_items(spark, sf_dir, Preset("gbt", grid, train_ratio=0.8))
