@@ -13,6 +13,7 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
+from barograph.session import clear_scratch  # noqa: E402
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -75,6 +76,7 @@ def main() -> None:
             problem = compare(spark, connection, sf_dir, name)
         except Exception as error:  # report every query, not only the first failure
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        clear_scratch(spark)
         failures += bool(problem)
         checked = "sql " if name in entry.oracle_sql() else "rows"
         print(f"{'FAIL' if problem else 'ok  '} {checked} {time.monotonic() - started:6.2f}s {name} {problem}",

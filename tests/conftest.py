@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from pyspark.sql import SparkSession
 
-    from barograph.session import configure
+    from barograph.session import clear_scratch, configure
 
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
@@ -19,4 +19,5 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)
+    clear_scratch(session)
     session.stop()
