@@ -168,3 +168,19 @@ def test_presets_cover_the_published_grids():
         "rf7-cv-fast": (4, 3, 4), "rf7-single": (1, 3, 4), "gbt-test": (4, 2, 4),
         "gbt-full": (27, 3, 4), "gbt-simplified": (4, 2, 1), "gbt7-cv-full": (8, 3, 4),
         "gbt7-cv-fast": (4, 3, 4), "gbt7-tvs-fast": (4, 3, 4)}
+
+
+def test_single_split_by_column_is_reproducible(data):
+    rows = with_fold(data.drop("fold"), ["k"], SMALL_GBT.fold_count)
+    plan = feature_plan(["a", "b", "c"])
+    scores = [grid_search(df, plan, SMALL_GBT, "fold", parallelism=2).scores for df in (rows, rows.repartition(3))]
+    assert scores[0] == pytest.approx(scores[1], rel=0.05)
+    train, held = rows.where("fold < 80"), rows.where("fold >= 80")
+    model = Pipeline(stages=[*plan.stages, boosted(maxIter=2, maxDepth=2, stepSize=0.1)]).fit(train)
+    assert scores[0][0] == pytest.approx(RegressionEvaluator(labelCol="label").evaluate(model.transform(held)), rel=0.02)
+
+
+def test_prepared_rows_are_released_after_the_grid(spark, data):
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    grid_search(data, feature_plan(["a", "b", "c"]), SMALL_RF, "fold")
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before

@@ -1,9 +1,13 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from barograph.operators.derive import CANDIDATES_BOOSTED, CANDIDATES_FOREST, CANDIDATES_LINEAR
 from barograph.operators.split import (
     hash_split, random_split, sample_rows, split_parts, time_split, with_fold,
 )
+from barograph.session import clear_scratch, configure, scratch_path
+from barograph.sources.tables import key_sample
 
 DATA = "/root/testdata"
 
@@ -65,3 +69,39 @@ def test_random_split_and_samples(spark):
     assert random_split(ids)[0].exceptAll(train).count() == 0
     assert sample_rows(ids, 0.1).count() == pytest.approx(1000, rel=0.15)
     assert sample_rows(ids, 0.01).count() == pytest.approx(100, rel=0.5)
+
+
+def test_no_key_is_an_error(spark):
+    df = spark.range(10)
+    for use in (lambda: hash_split(df, []), lambda: with_fold(df, [], 3)):
+        with pytest.raises(ValueError, match="key"):
+            use()
+
+
+def test_key_sample_is_the_same_for_every_partitioning(spark):
+    df = spark.range(20_000)
+    found = {r.id for r in key_sample(df, 2_000, ["id"], 20_000).collect()}
+    assert found == {r.id for r in key_sample(df.repartition(7), 2_000, ["id"], 20_000).collect()}
+    assert abs(len(found) - 2_000) < 200
+    assert key_sample(df, 30_000, ["id"], 20_000).count() == 20_000
+
+
+def test_configure_leaves_the_callers_settings(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    other.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    assert configure(other).conf.get("spark.sql.session.timeZone") == "America/New_York"
+    assert other.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_no_candidate_comes_from_the_label():
+    for candidates in (CANDIDATES_FOREST, CANDIDATES_BOOSTED, CANDIDATES_LINEAR):
+        assert not {"label", "TEMP_num", "RH_num", "dew_temp_diff"} & set(candidates)
+
+
+def test_scratch_tables_are_deleted(spark):
+    path = scratch_path(spark, "test")
+    spark.range(3).write.parquet(path)
+    assert clear_scratch(spark) >= 1
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
