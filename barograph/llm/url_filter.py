@@ -97,7 +97,7 @@ def url_scores(urls: DataFrame) -> DataFrame:
 def threshold(scored: DataFrame) -> float:
     """Score from which a URL is accepted: least errors on labelled rows, classes weighted alike.
 
-    Zero when one of the classes has no row.
+    It lies midway to the labelled score below. Zero when one of the classes has no row.
     """
     step = F.least(F.greatest(F.floor((F.col("score") + 10) * 200), F.lit(0)), F.lit(BINS - 1))
     curve = scored.groupBy(step.alias("step")).agg(
@@ -106,9 +106,12 @@ def threshold(scored: DataFrame) -> float:
     below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     share = lambda c: F.coalesce(F.sum(c).over(below), F.lit(0.0)) / F.sum(c).over(whole)
-    best = (curve.withColumn("cost", share("good") - share("bad"))
+    best = (curve.withColumns({"cost": share("good") - share("bad"),
+                               "before": F.lag("step").over(Window.orderBy("step"))})
             .where("cost IS NOT NULL").orderBy("cost", "step").first())
-    return 0.0 if best is None else best.step / 200 - 10
+    if best is None:
+        return 0.0
+    return (best.step if best.before is None else (best.before + 1 + best.step) / 2) / 200 - 10
 
 
 def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
