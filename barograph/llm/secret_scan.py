@@ -13,13 +13,14 @@ UUIDs and words are not; other candidates get no label.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.llm.common import id_and_text, load, query, stored
+from barograph.session import scratch_path
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}"
 CONTEXT = 48  # characters kept on either side
@@ -112,7 +113,10 @@ def fit_forest(findings: DataFrame, rows: int = SAMPLE_FINDINGS):
         return assembler, None
     forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=20, maxDepth=5, seed=11,
                                     subsamplingRate=0.7, featureSubsetStrategy="onethird", maxMemoryInMB=64)
-    return assembler, forest.fit(assembler.transform(sample).coalesce(4))
+    # A fitted forest holds its session, which cannot be sent to tasks; one read back does not.
+    path = scratch_path(sample.sparkSession, "forest")
+    forest.fit(assembler.transform(sample).coalesce(4)).write().save(path)
+    return assembler, RandomForestClassificationModel.load(path)
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:

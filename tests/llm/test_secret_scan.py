@@ -1,5 +1,8 @@
 import random
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from barograph.llm import secret_scan as ss
 from barograph.llm.common import id_and_text
 from tests.llm.fixtures import awkward, empty, prose
@@ -53,3 +56,11 @@ def test_empty_and_candidate_free_tables(spark):
     assert ss.scan(id_and_text(empty(spark))).count() == 0
     df = awkward(spark)
     assert ss.mask_secrets(df).exceptAll(df).count() == 0
+
+
+def test_scan_in_a_session_that_has_observed_a_query(spark):
+    observation = Observation()
+    spark.range(3).observe(observation, F.count("*").alias("n")).count()
+    assert observation.get["n"] == 3
+    docs, planted = rows(12)
+    assert ss.scan(id_and_text(awkward(spark, docs))).where("secret").count() == len(planted)
