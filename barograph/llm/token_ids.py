@@ -15,6 +15,18 @@ import numpy as np
 
 #: Pieces remembered by one worker, about 100 bytes each.
 CACHE_SIZE = 1_200_000
+#: Below this character every letter is a letter in all versions of Unicode in use.
+LATIN_END = "\u0250"
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """Byte-level vocabularies write printable bytes as they are and the others, in order, from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+BYTE_ALPHABET = _byte_alphabet()
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -42,25 +54,24 @@ class _Pieces(dict):
         if len(self) >= CACHE_SIZE:
             self.clear()
         body = piece[1:] if piece[:1] == " " else piece
-        if body.isascii():
-            if body.isalpha():
-                found = self.word(piece)
-            elif body[-1:] in (",", ".") and body[:-1].isalpha():
-                found = self.word(piece[:-1]) + self.word(body[-1])
-            else:
-                found = self.whole(piece)
+        if not body or max(body) >= LATIN_END:
+            found = self.whole(piece)
+        elif body.isalpha():
+            found = self.word(piece)
+        elif body[-1] in ",." and body[:-1].isalpha():
+            found = self.word(piece[:-1]) + self.word(body[-1])
         else:
             found = self.whole(piece)
         self[piece] = found
         return found
 
     def word(self, word: str) -> bytes:
-        """Ids of one ASCII pre-token; the byte alphabet writes a space as G with a dot."""
+        """Ids of one pre-token, written in the byte alphabet of the vocabulary."""
         found = self.words.get(word)
         if found is None:
             if len(self.words) >= CACHE_SIZE:
                 self.words.clear()
-            tokens = self.model.tokenize("Ġ" + word[1:] if word[0] == " " else word)
+            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_ALPHABET))
             found = self.words[word] = np.array([t.id for t in tokens], self.dtype).tobytes()
         return found
 
