@@ -38,7 +38,7 @@ FEATURES = ("words", "hits", "strongest", "top_three", "density", "strong_densit
 _WORD = re.compile(r"[^\W\d_]+")
 _MIXED = re.compile(r"[^\W\d_]+(?:[0-9@$!*.\-_]+[^\W\d_]+)+")
 _SPACED = re.compile(r"(?:\b[^\W\d_][ .\-*]){3,}[^\W\d_]\b")
-_RUN = re.compile(r"(\S)\1{3,}")
+_CAPITAL = re.compile("[A-ZÀ-ÖØ-Þ]")
 _CAPITAL_WORD = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{3,}\b")
 
 
@@ -78,18 +78,29 @@ def describe(text: str | None, weights: Weights) -> list[float]:
         for i, k in zip(people, gap.tolist()):
             near += any(0 <= j < len(at) and abs(int(at[j]) - i) <= NEAR for j in (k - 1, k))
     letters = sum(map(len, words))
-    capitals = sum(map(str.isupper, text)) if size < 2_000 else sum(1 for a, b in zip(text, lowered) if a != b)
-    mixed = _MIXED.findall(lowered) if any(c in lowered for c in "@$*!-_.0134578") else []
+    tokens = lowered.split()
+    # Most tokens are plain words; the patterns look at the others only.
+    odd = (token.strip(".,;:!?'\"()#%&") for token in set(tokens) if not token.isalpha())
+    mixed = [token for token in odd if not token.isalpha() and _MIXED.fullmatch(token)]
+    single = sum(1 for token in tokens if len(token) == 1)
     plain = sum(1 for word in mixed if weights[word.translate(LOOKALIKES)] > 0)
     marks = {c: text.count(c) for c in ".,;:!?'\"()"}
     symbols = sum(text.count(c) for c in "#$%&*@^~+=<>|\\")
     digits = sum(text.count(c) for c in "0123456789")
     return [
         math.log1p(len(words)), math.log1p(len(at)), float(top[0]) if len(top) else 0.0, float(top[:3].sum()),
-        float(found.sum()) / n, float((found >= 3).sum()) / n, near / n, len(people) / n, capitals / max(1, letters),
+        float(found.sum()) / n, float((found >= 3).sum()) / n, near / n, len(people) / n,
+        len(_CAPITAL.findall(text)) / max(1, letters),
         len(_CAPITAL_WORD.findall(text)) / n, sum(marks.values()) / size, marks["!"] / size, marks["?"] / size,
-        symbols / size, digits / size, len(mixed) / n, float(plain), len(_SPACED.findall(lowered)) / n,
-        len(_RUN.findall(text)) / n, len(set(words)) / n]
+        symbols / size, digits / size, len(mixed) / n, float(plain), len(_SPACED.findall(lowered)) / n if single >= 4 else 0.0,
+        _long_runs(text) / n, len(set(words)) / n]
+
+
+def _long_runs(text: str) -> int:
+    """Places where one character stands four times in a row, white space aside."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    same = (codes[1:] == codes[:-1]) & (codes[1:] > 32)
+    return int((same[2:] & same[1:-1] & same[:-2]).sum())
 
 
 def learn_lexicon(texts: DataFrame) -> dict[str, float]:
