@@ -83,7 +83,11 @@ def _pieces(data: np.ndarray, bounds: np.ndarray, length: int):
 
 
 def run_table(docs: DataFrame, length: int) -> DataFrame:
-    """``anchor, run, doc_id, place`` of every run; ``place`` is first start * 128 + further starts."""
+    """``anchor, run, doc_id, place, again`` of every run; ``place`` is first start * 128 + further starts.
+
+    ``again`` marks runs that an earlier one in the same batch repeats as a
+    whole, so that a hot string's copies need not meet in one task.
+    """
     def find(batch):
         data, bounds = tb.buffer_of(batch.column(1))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -94,20 +98,31 @@ def run_table(docs: DataFrame, length: int) -> DataFrame:
                 low, high = low + at, high + at
             for values, own in zip(out, (anchor, run, ids[text] if len(text) else text, low * SPAN + (high - low))):
                 values.append(np.asarray(own, np.int64))
-        return dict(zip(("anchor", "run", "doc_id", "place"), map(np.concatenate, out)))
+        found = dict(zip(("anchor", "run", "doc_id", "place"), map(np.concatenate, out)))
+        order = np.lexsort([found[name] for name in ("place", "doc_id", "run", "anchor")])
+        same = np.zeros(len(order), bool)
+        if len(order):
+            anchor, run, doc_id, place = (found[name][order] for name in found)
+            group = np.ones(len(order), bool)
+            group[1:] = (anchor[1:] != anchor[:-1]) | (run[1:] != run[:-1])
+            head = np.flatnonzero(group)[np.cumsum(group) - 1]
+            same[order] = (doc_id != doc_id[head]) | (place != place[head])
+        return {**found, "again": same}
 
     named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint"), "text")
-    return per_batch(named, find, "anchor bigint, run bigint, doc_id bigint, place bigint")
+    return per_batch(named, find, "anchor bigint, run bigint, doc_id bigint, place bigint, again boolean")
 
 
 def sorted_runs(runs: DataFrame) -> DataFrame:
     """Runs that repeat an earlier one as a whole, and first runs of anchors that have several."""
-    same = Window.partitionBy("anchor", "run").orderBy("doc_id", "place").rowsBetween(
+    same = Window.partitionBy("key", "anchor", "run").orderBy("doc_id", "place").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    all_runs = Window.partitionBy("anchor")
+    all_runs = Window.partitionBy("key", "anchor")
     first = F.first(F.struct("doc_id", "place")).over(same)
-    kept = (runs.repartition("anchor")
-            .withColumn("again", first != F.struct("doc_id", "place"))
+    # Settled runs go anywhere, the others meet by their anchor.
+    kept = (runs.withColumn("key", F.when(F.col("again"), F.xxhash64("doc_id", "place")).otherwise(F.col("anchor")))
+            .repartition("key")
+            .withColumn("again", F.col("again") | (first != F.struct("doc_id", "place")))
             .withColumns({"low": F.min("run").over(all_runs), "high": F.max("run").over(all_runs)})
             .where("again OR low <> high"))
     return stored(kept.select("anchor", "run", "doc_id", "place", "again"), "string-runs")
