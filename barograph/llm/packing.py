@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.llm.common import id_and_text, load, per_batch, query
-from barograph.llm.token_ids import default_vocabulary, encoder
+from barograph.llm.token_ids import CACHE_SIZE, default_vocabulary, encoder
 
 SEQUENCE = 2048
 END_ID = 0
@@ -68,12 +68,13 @@ def piece_bounds(length: int, size: int) -> list[int]:
     return ([0] if first else []) + list(range(first, length + 1, size))
 
 
-def document_pieces(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, keep_ids: bool = False) -> DataFrame:
+def document_pieces(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, keep_ids: bool = False,
+                    remember: int = CACHE_SIZE) -> DataFrame:
     """Token pieces of every text, each text followed by the end id."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batch):
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary, remember).encode
         out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             raw = np.append(encode(text).astype("<u4"), np.uint32(END_ID)).tobytes()
@@ -88,15 +89,17 @@ def document_pieces(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, keep
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, open_bins: int = OPEN_BINS,
-                   arrivals: int = ARRIVALS, keep_ids: bool = False) -> DataFrame:
+                   arrivals: int = ARRIVALS, keep_ids: bool = False, remember: int = CACHE_SIZE) -> DataFrame:
     """Place of every piece: ``sequence_id`` and ``offset``; ``ids`` too if kept.
 
+    ``remember`` bounds the pieces of text whose ids a worker keeps, which costs memory and saves time.
+
     Null and empty texts are the end id alone. Repeated rows are packed as often
     as they occur. Pieces are dealt out by a hash of id and number, so no source
     or group of copies is one task. An empty table gives an empty result.
     """
     schema = PLACED.format(id=docs.schema["doc_id"].dataType.simpleString())
-    pieces = document_pieces(docs, vocabulary, size, keep_ids)
+    pieces = document_pieces(docs, vocabulary, size, keep_ids, remember)
     dealt = (pieces.withColumn("key", F.xxhash64("doc_id", "piece")).repartition("key")
              .sortWithinPartitions("key", "doc_id", "piece", "ids_crc32").drop("key"))
 

@@ -13,7 +13,7 @@ import os
 
 import numpy as np
 
-#: Pieces remembered by one worker, about 100 bytes each.
+#: Pieces remembered by one worker, and as many words: about 300 MB when full.
 CACHE_SIZE = 1_200_000
 #: Below this character every letter is a letter in all versions of Unicode in use.
 LATIN_END = "\u0250"
@@ -36,10 +36,11 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str) -> "Encoder":
-    """This worker's encoder for a vocabulary file."""
+def encoder(path: str, remember: int = CACHE_SIZE) -> "Encoder":
+    """This worker's encoder for a vocabulary file, remembering at most so many pieces."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+    _encoders[path].pieces.most = remember
     return _encoders[path]
 
 
@@ -49,9 +50,10 @@ class _Pieces(dict):
     def __init__(self, tokenizer, dtype: str) -> None:
         self.tokenizer, self.model, self.dtype = tokenizer, tokenizer.model, dtype
         self.words: dict[str, bytes] = {}
+        self.most = CACHE_SIZE
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_SIZE:
+        if len(self) >= self.most:
             self.clear()
         body = piece[1:] if piece[:1] == " " else piece
         if not body or max(body) >= LATIN_END:
@@ -69,7 +71,7 @@ class _Pieces(dict):
         """Ids of one pre-token, written in the byte alphabet of the vocabulary."""
         found = self.words.get(word)
         if found is None:
-            if len(self.words) >= CACHE_SIZE:
+            if len(self.words) >= self.most:
                 self.words.clear()
             tokens = self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_ALPHABET))
             found = self.words[word] = np.array([t.id for t in tokens], self.dtype).tobytes()

@@ -51,7 +51,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place of every document's pieces in sequences of 2048 tokens."""
     ship_package(spark)
-    return pack_documents(id_and_text(docs), default_vocabulary())
+    # Workers of earlier stages are still there, so this one remembers less than packing alone.
+    return pack_documents(id_and_text(docs), default_vocabulary(), remember=250_000)
 
 
 STAGES = [("toxicity", toxicity), ("near_copies", near_copies), ("decontamination", decontamination),
