@@ -6,10 +6,10 @@ fixed size, and lists its prefix. Two classes above the threshold share a prefix
 shingle; length, position and suffix bounds drop most candidates, and what is
 left is verified on the texts.
 
-A shingle's classes are never paired with each other all at once. In a round the
-smallest class of each shingle is tested against its others, and what turns out
-connected needs no further test. Rounds with new smallest classes follow, and
-the last round pairs what is still in different components.
+A shingle's classes are never paired with each other all at once. In a round one
+class of each shingle is tested against its others, and what turns out connected
+needs no further test. A round with new classes follows, and the last round
+pairs what is still in different components and within the bounds.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from barograph.llm import textbytes as tb
-from barograph.llm.common import id_and_text, load, per_batch, query, slices, stored
+from barograph.llm.common import discard, id_and_text, load, per_batch, query, slices, stored
 from barograph.llm.components import components
 
 WORDS = 5
@@ -31,7 +32,9 @@ PERCENT = 80
 CELL_BITS = 22
 SEGMENT_BITS = 16
 SUFFIX_BINS = 64
-STAR_ROUNDS = 3
+#: Bits of the filter that picks the texts of candidate classes.
+CLASS_BITS = 1 << 25
+STAR_ROUNDS = 2
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -166,16 +169,30 @@ def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def shared_prefixes(listed: DataFrame) -> DataFrame:
-    """Rows of ``listed`` whose shingle more than one class lists."""
+    """Rows of ``listed`` whose shingle more than one class lists.
+
+    ``rank`` counts the class's shared shingles before this one and ``shared``
+    all of them.
+    """
     listed = stored(listed, "prefixes")
-    shared = listed.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    return stored(listed.join(shared.where("low <> high").select("gram"), "gram").distinct(), "shared-prefixes")
+    grams = listed.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    own = Window.partitionBy("class")
+    rows = (listed.join(grams.where("low <> high").select("gram"), "gram")
+            .repartition("class").dropDuplicates(["class", "place", "gram", "n"])
+            .withColumns({"rank": F.row_number().over(own.orderBy("place")) - 1, "shared": F.count("*").over(own)}))
+    found = stored(rows, "shared-prefixes")
+    discard(listed)
+    return found
 
 
 def _may_link(percent: int):
-    """Length and position bounds for columns ``n, place`` and ``pivot.n, pivot.place``."""
+    """Length and position bounds for columns ``n, place, rank`` and the pivot's.
+
+    Common shingles before this one stand in both prefixes, so they are among
+    those before it that either class shares with any other.
+    """
     n, m, i, j = F.col("n"), F.col("pivot.n"), F.col("place"), F.col("pivot.place")
-    room = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
+    room = F.least(F.col("rank"), F.col("pivot.rank")) + 1 + F.least(n - i - 1, m - j - 1)
     return ((F.least(n, m) * 100 >= F.greatest(n, m) * percent)
             & (room * (100 + percent) >= (n + m) * percent))
 
@@ -211,16 +228,36 @@ def _suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
     return wide.mapInArrow(keep, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def class_bitmap(named: DataFrame) -> np.ndarray:
+    """One bit per name, modulo ``CLASS_BITS``: 4 MB whatever the input.
+
+    Only spares texts a shuffle; a set bit of another class is sorted out by a join.
+    """
+    place = F.pmod(F.col("class"), F.lit(CLASS_BITS)) + 1
+    buckets = named.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    bits = np.zeros(CLASS_BITS // 8, np.uint8)
+    for row in buckets:
+        own = np.frombuffer(row.bits, np.uint8)
+        bits[(row.bucket - 1) * 4096:(row.bucket - 1) * 4096 + len(own)] = own
+    return bits
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs ``u, v`` of classes whose shingle sets reach the threshold."""
-    named = pairs.select("a").union(pairs.select("b")).distinct().toDF("class")
-    owners = classes.select("class", "doc_id").join(named, "class")
-    # A row that shares only its id with the owner is told apart by its own class.
-    texts = stored(per_batch(
-        docs.join(owners.select("doc_id").distinct(), "doc_id", "left_semi").select("text"),
-        lambda batch: {"class": [class_of(s) if len(s) else None for s in shingle_sets(batch.column(0), size)],
-                       "text": batch.column(0)}, "class bigint, text string")
-        .dropDuplicates(["class"]).join(named, "class", "left_semi"), "candidate-texts")
+    named = stored(pairs.select("a").union(pairs.select("b")).distinct().toDF("class"), "candidate-classes")
+    wanted = docs.sparkSession.sparkContext.broadcast(class_bitmap(named))
+
+    def candidates(batch):
+        sets = shingle_sets(batch.column(0), size)
+        names = np.array([class_of(s) if len(s) else 0 for s in sets], np.int64)
+        bit = names % CLASS_BITS
+        kept = (wanted.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+        kept &= np.array([len(s) > 0 for s in sets], bool)
+        return {"class": names[kept], "text": batch.column(0).filter(pa.array(kept))} if kept.any() else None
+
+    texts = stored(per_batch(docs.select("text"), candidates, "class bigint, text string")
+                   .join(named, "class", "left_semi").dropDuplicates(["class"]), "candidate-texts")
     wide = (pairs.join(texts.toDF("a", "text"), "a").join(texts.toDF("b", "other"), "b")
             .select("a", "b", "text", "other"))
 
@@ -242,35 +279,37 @@ def linked_classes(docs: DataFrame, members: DataFrame, size: int, percent: int)
     classes = stored(members.where("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("bins").alias("bins")), "classes")
     tested = links = labels = None
+    row = ("class", "n", "place", "rank", "root")
     for turn in range(STAR_ROUNDS + 1):
-        state = shared
         if labels is not None:
             state = shared.join(labels.select(F.col("node").alias("class"), "root"), "class", "left").withColumn(
                 "root", F.coalesce("root", "class"))
         else:
             state = shared.withColumn("root", F.col("class"))
+        # The pivot of a shingle is the class that shares most: edits only take away from it.
+        pivot = F.max(F.struct("shared", *row)).alias("pivot")
+        groups = state.groupBy("gram").agg(pivot, F.min("root").alias("low"), F.max("root").alias("high"))
         # Shingles whose classes are all connected have nothing left to test.
-        mixed = state.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        state = stored(state.join(mixed.select("gram", "low"), "gram"), "open-prefixes")
-        if turn < STAR_ROUNDS:
-            # The pivot comes from another component each round.
-            side = "root = low" if turn % 2 == 0 else "root <> low"
-            pivots = state.where(side).groupBy("gram").agg(
-                F.min(F.struct("class", "n", "place", "root")).alias("pivot"))
-            candidates = state.join(pivots, "gram").where("root <> pivot.root")
+        state = stored(state.join(groups.where("low <> high").select("gram", "pivot"), "gram"), "open-prefixes")
+        if turn == 0:
+            candidates = state
+        elif turn < STAR_ROUNDS:
+            # Next pivots come from outside the first one's component.
+            next_pivots = state.where("root <> pivot.root").groupBy("gram").agg(pivot)
+            candidates = state.drop("pivot").join(next_pivots, "gram")
         else:
-            others = state.where("root <> low").select(
-                "gram", F.struct("class", "n", "place", "root").alias("pivot"))
-            candidates = state.join(others, "gram").where("root <> pivot.root")
-        pairs = _ordered_pairs(candidates, percent)
+            outside = state.where("root <> pivot.root").select("gram", F.struct(*row).alias("pivot"))
+            candidates = state.drop("pivot").join(outside, "gram")
+        pairs = _ordered_pairs(candidates.where("root <> pivot.root"), percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        discard(state)
         if pairs.isEmpty():
             continue
         tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
         left = stored(_suffix_filtered(pairs, classes, percent), "pairs-to-verify")
-        found = stored(_verified(left, classes, docs, size, percent), "verified")
+        found = stored(_verified(left, docs, size, percent), "verified")
         links = found if links is None else links.union(found)
         labels = stored(components(links), "labels")
     if labels is None:
