@@ -6,7 +6,9 @@ runs of strings with a common anchor need comparing. Runs with the same bytes
 repeat each other as a whole; where an anchor has runs with different bytes,
 their texts are sorted: shards build a suffix array each, by Larsson-Sadakane
 refinement, common prefixes by Kasai's rule give the repeated strings, and what
-one shard has seen of an anchor is merged into the next by binary search.
+one shard has seen of an anchor is merged into the next by binary search. Anchors
+with very many different runs go by the hashes of their strings instead, so that
+only equal strings meet.
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ SHARD_BYTES = 1 << 20
 PLACE_BITS = np.uint64(24)
 #: A run is stored as its first start and the number of further starts, which the anchor bounds.
 SPAN = 128
+#: Different runs of an anchor up to which their texts are sorted together: at most 32 MB of strings.
+HOT_RUNS = 4096
+#: Byte values of a second string hash.
+_OTHER_VALUES = tb.mixed(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 
 
 def _anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,8 +119,11 @@ def run_table(docs: DataFrame, length: int) -> DataFrame:
     return per_batch(named, find, "anchor bigint, run bigint, doc_id bigint, place bigint, again boolean")
 
 
-def sorted_runs(runs: DataFrame) -> DataFrame:
-    """Runs that repeat an earlier one as a whole, and first runs of anchors that have several."""
+def sorted_runs(runs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFrame:
+    """Runs that repeat an earlier one as a whole, and first runs of anchors that have several.
+
+    ``hot`` marks the runs of anchors with more than ``hot_runs`` first runs.
+    """
     same = Window.partitionBy("key", "anchor", "run").orderBy("doc_id", "place").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     all_runs = Window.partitionBy("key", "anchor")
@@ -123,9 +132,10 @@ def sorted_runs(runs: DataFrame) -> DataFrame:
     kept = (runs.withColumn("key", F.when(F.col("again"), F.xxhash64("doc_id", "place")).otherwise(F.col("anchor")))
             .repartition("key")
             .withColumn("again", F.col("again") | (first != F.struct("doc_id", "place")))
-            .withColumns({"low": F.min("run").over(all_runs), "high": F.max("run").over(all_runs)})
+            .withColumns({"low": F.min("run").over(all_runs), "high": F.max("run").over(all_runs),
+                          "hot": F.sum((~F.col("again")).cast("bigint")).over(all_runs) > hot_runs})
             .where("again OR low <> high"))
-    return stored(kept.select("anchor", "run", "doc_id", "place", "again"), "string-runs")
+    return stored(kept.select("anchor", "run", "doc_id", "place", "again", "hot"), "string-runs")
 
 
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,30 +250,40 @@ def _strings(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return out.reshape(-1).view(f"S{length + 1}")
 
 
-def compared_runs(runs: DataFrame, docs: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """``doc_id, low, high``: covered bytes found by comparing runs that share only their anchor."""
-    lists = runs.where("NOT again").groupBy("doc_id").agg(
+def _with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """``doc_id, text, runs`` of the texts with one of ``runs``."""
+    lists = runs.groupBy("doc_id").agg(
         F.collect_list(F.struct("anchor", "run", "place")).alias("runs"))  # as many as the text has anchors
     named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint"), "text")
+    return named.join(lists, "doc_id").select("doc_id", "text", "runs")
+
 
+def _contexts(part: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """Anchor, id, first start and bytes of every run of the texts of a slice."""
+    for row in range(part.num_rows):
+        text = (part.column(1)[row].as_py() or "").encode()
+        doc_id, runs = part.column(0)[row].as_py(), part.column(2)[row].values
+        for anchor, place in zip(runs.field("anchor").to_pylist(), runs.field("place").to_pylist()):
+            start = place // SPAN
+            context = text[start:start + place % SPAN + length]
+            if len(context) >= length:
+                yield anchor, doc_id, start, context
+
+
+def compared_runs(runs: DataFrame, docs: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    """``doc_id, low, high``: covered bytes found by comparing runs that share only their anchor."""
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 out: dict[str, list] = {"anchor": [], "doc_id": [], "start": [], "context": []}
-                for row in range(part.num_rows):
-                    text = (part.column(1)[row].as_py() or "").encode()
-                    runs = part.column(2)[row].values
-                    for anchor, place in zip(runs.field("anchor").to_pylist(), runs.field("place").to_pylist()):
-                        start = place // SPAN
-                        context = text[start:start + place % SPAN + length]
-                        if len(context) >= length:
-                            for name, value in zip(out, (anchor, part.column(0)[row].as_py(), start, context)):
-                                out[name].append(value)
+                for found in _contexts(part, length):
+                    for name, value in zip(out, found):
+                        out[name].append(value)
                 yield pa.RecordBatch.from_pydict({
                     "anchor": pa.array(out["anchor"], pa.int64()), "doc_id": pa.array(out["doc_id"], pa.int64()),
                     "start": pa.array(out["start"], pa.int64()), "context": pa.array(out["context"], pa.binary())})
 
-    contexts = (named.join(lists, "doc_id").select("doc_id", "text", "runs")
+    contexts = (_with_runs(docs, runs.where("NOT again AND NOT hot"))
                 .mapInArrow(cut, "anchor bigint, doc_id bigint, start bigint, context binary").distinct()
                 .repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start"))
 
@@ -297,6 +317,71 @@ def compared_runs(runs: DataFrame, docs: DataFrame, length: int, shard_bytes: in
     return contexts.mapInArrow(merge, "doc_id bigint, low bigint, high bigint")
 
 
+def settled_strings(ids: np.ndarray, starts: np.ndarray, contexts: list[bytes], length: int) -> dict[str, np.ndarray]:
+    """``one, two, doc_id, low, high, again``: strings of ``contexts`` with their two hashes.
+
+    Strings that an earlier one here repeats are settled, as joined ranges with
+    ``again``; so a hot string leaves one open row, however many copies there are.
+    """
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    data = np.frombuffer(b"".join(contexts), np.uint8)
+    count = sizes - length + 1
+    slot = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = np.repeat(np.cumsum(sizes) - sizes, count) + slot
+    doc_id, low = np.repeat(ids, count), np.repeat(starts, count) + slot
+    one, two = (tb.span_hashes(tb.prefix_sums(data, values), at, at + length).view(np.int64)
+                for values in (tb._VALUES, _OTHER_VALUES))
+    order = np.lexsort((low, doc_id, two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+    head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    again = np.zeros(len(order), bool)
+    again[order] = (doc_id[order] != doc_id[head]) | (low[order] != low[head])
+    by = np.flatnonzero(again)
+    by = by[np.lexsort((low[by], doc_id[by]))]
+    cut = np.ones(len(by), bool)
+    cut[1:] = (doc_id[by[1:]] != doc_id[by[:-1]]) | (low[by[1:]] > low[by[:-1]] + 1)
+    begin, end = by[cut], by[np.append(np.flatnonzero(cut)[1:], len(by)) - 1] if len(by) else by
+    opened = np.flatnonzero(~again)
+    return {"one": np.concatenate([one[opened], one[begin]]), "two": np.concatenate([two[opened], low[begin]]),
+            "doc_id": np.concatenate([doc_id[opened], doc_id[begin]]),
+            "low": np.concatenate([low[opened], low[begin]]),
+            "high": np.concatenate([low[opened], low[end]]) + length,
+            "again": np.arange(len(opened) + len(begin)) >= len(opened)}
+
+
+def hashed_runs(runs: DataFrame, docs: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    """``doc_id, low, high``: covered bytes of hot anchors' runs, found by the hashes of their strings."""
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, starts, contexts, size = [], [], [], 0
+
+        def settled():
+            return pa.RecordBatch.from_pydict(settled_strings(
+                np.array(ids, np.int64), np.array(starts, np.int64), contexts, length))
+
+        for batch in batches:
+            for part in slices(batch):
+                for _, doc_id, start, context in _contexts(part, length):
+                    ids.append(doc_id)
+                    starts.append(start)
+                    contexts.append(context)
+                    size += len(context)
+                    if size >= shard_bytes:
+                        yield settled()
+                        ids, starts, contexts, size = [], [], [], 0
+        if contexts:
+            yield settled()
+
+    strings = _with_runs(docs, runs.where("NOT again AND hot")).mapInArrow(
+        find, "one bigint, two bigint, doc_id bigint, low bigint, high bigint, again boolean")
+    # Settled ranges go anywhere; of an open string a task has one row for each megabyte that holds it.
+    same = Window.partitionBy("again", "one", "two", F.when(F.col("again"), F.col("doc_id"))).orderBy(
+        "doc_id", "low").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.first(F.struct("doc_id", "low")).over(same)
+    return strings.withColumn("again", F.col("again") | (first != F.struct("doc_id", "low"))).where("again").select(
+        "doc_id", "low", "high")
+
+
 def _ranges(starts: np.ndarray) -> list[tuple[int, int]]:
     """Runs of consecutive numbers as (first, last)."""
     if not len(starts):
@@ -305,17 +390,21 @@ def _ranges(starts: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[np.append(0, cut + 1)].tolist(), starts[np.append(cut, len(starts) - 1)].tolist()))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES,
+                   hot_runs: int = HOT_RUNS) -> DataFrame:
     """``doc_id, spans``: the maximal byte runs of each text that earlier strings cover."""
-    runs = sorted_runs(run_table(docs, length))
+    runs = sorted_runs(run_table(docs, length), hot_runs)
     whole = runs.where("again").select(
         "doc_id", F.expr(f"place div {SPAN}").alias("low"),
         (F.expr(f"place div {SPAN}") + F.col("place") % SPAN + length).alias("high"))
     covered = whole.unionByName(compared_runs(runs, docs, length, shard_bytes))
+    if not runs.where("NOT again AND hot").isEmpty():
+        covered = covered.unionByName(hashed_runs(runs, docs, length, shard_bytes))
     return covered.groupBy("doc_id").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
 
 
-def remove_repeated(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def remove_repeated(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES,
+                    hot_runs: int = HOT_RUNS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row.
 
     ``kept`` holds the remaining bytes. Texts shorter than ``length`` bytes, null
@@ -323,7 +412,7 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
     takes them from others. Rows repeated with the same id are the same
     document and keep what they have in common.
     """
-    spans = repeated_spans(docs, length, shard_bytes)
+    spans = repeated_spans(docs, length, shard_bytes, hot_runs)
     id_type = docs.schema["doc_id"].dataType
     rows = docs.join(spans.withColumn("doc_id", F.col("doc_id").cast(id_type)), "doc_id", "left").select(
         "doc_id", "text", "spans")

@@ -69,3 +69,23 @@ def test_suffix_array_and_common_prefixes():
         while h < 100 and max(i, j) + h < len(text) and text[i + h] == text[j + h]:
             h += 1
         assert lcp[k] == h
+
+
+@pytest.mark.parametrize("hot_runs, shard_bytes", [(0, 1 << 20), (4, 900), (4, 1 << 20)])
+def test_hot_anchors_go_by_string_and_equal_brute_force(spark, hot_runs, shard_bytes):
+    docs = documents()
+    df = awkward(spark, docs).where("doc_id IS NOT NULL AND doc_id <> 7").dropDuplicates(["doc_id"])
+    found = rs.remove_repeated(id_and_text(df), shard_bytes=shard_bytes, hot_runs=hot_runs).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == brute(
+        [(r.doc_id, r.text) for r in df.collect()])
+
+
+def test_no_anchor_brings_more_runs_than_the_bound_to_one_comparison(spark):
+    passage = prose(99, 40)
+    rows = [(k, prose(k, 20) + passage + prose(1000 + k, 20)) for k in range(200)]
+    df = id_and_text(awkward(spark, [*rows, rows[0]]).where("doc_id >= 10"))
+    runs = rs.sorted_runs(rs.run_table(df, 100), 50)
+    met = runs.where("NOT again AND NOT hot").groupBy("anchor").count()
+    assert runs.where("NOT again AND hot").count() > 300 and (met.agg({"count": "max"}).first()[0] or 0) <= 50
+    strings = rs.hashed_runs(runs, df, 100, 1 << 20)
+    assert strings.count() > 0 and strings.where("doc_id = 10").count() == 0
