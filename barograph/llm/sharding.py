@@ -58,7 +58,7 @@ def minimax_shards(sizes: np.ndarray, shards: int) -> np.ndarray:
     rest = np.argsort(-sizes, kind="stable")
     alone = 0
     left = int(sizes.sum())
-    while alone < shards - 1 and sizes[rest[alone]] * (shards - alone) > left:
+    while alone < min(shards - 1, len(rest)) and sizes[rest[alone]] * (shards - alone) > left:
         shard[rest[alone]] = alone
         left -= int(sizes[rest[alone]])
         alone += 1
@@ -70,17 +70,20 @@ def minimax_shards(sizes: np.ndarray, shards: int) -> np.ndarray:
     return shard
 
 
-def assign_shards(docs: DataFrame, shards: int = SHARDS, buckets: int = BUCKETS) -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = SHARDS, buckets: int = BUCKETS, carried: str | None = None) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every row of ``docs``.
 
+    The column named ``carried`` comes along, if there is one.
+
     A row's size is its UTF-8 bytes plus 8; a null text counts as empty. Equal
     texts, and repeated rows, share a shard. Slots number the rows of a shard
     without gaps. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
+    along = [carried] if carried else []
     rows = docs.select(
-        "doc_id", (F.octet_length(text).cast("bigint") + 8).alias("size"),
+        *along, "doc_id", (F.octet_length(text).cast("bigint") + 8).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.pmod(F.xxhash64(text), F.lit(buckets)).alias("bucket"),
         F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(PARTS)).alias("part"))
@@ -100,14 +103,16 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, buckets: int = BUCKETS)
     order = Window.partitionBy("bucket", "part").orderBy("doc_id", "text_crc32", "size")
     return (rows.withColumn("rank", F.row_number().over(order))
             .join(F.broadcast(plan), ["bucket", "part"])
-            .select("doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
+            .select(*along, "doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
                     (F.col("before") + F.col("rank") - 1).alias("slot")))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write all columns of ``docs`` in one folder per shard."""
-    placed = assign_shards(id_and_text(docs), shards).select("doc_id", "shard", "slot").distinct()
-    (docs.drop("shard", "slot").join(placed, "doc_id").write.partitionBy("shard").parquet(path))
+    """Write all rows and columns of ``docs`` in one folder per shard, with their slots."""
+    columns = docs.drop("shard", "slot").columns
+    rows = docs.select("doc_id", "text", F.struct(*columns).alias("row"))
+    placed = assign_shards(rows, shards, carried="row")
+    placed.select("row.*", "slot", "shard").write.partitionBy("shard").parquet(path)
 
 
 @query()

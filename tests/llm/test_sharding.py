@@ -53,3 +53,24 @@ def test_empty_table_and_written_shards(spark, tmp_path):
     sharding.write_shards(df, str(tmp_path / "shards"), shards=2)
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert back.count() == 3 and {"shard", "slot", "class"} <= set(back.columns)
+
+
+def test_fewer_classes_than_shards(spark):
+    for sizes in ([9], [5, 5], [100, 1, 1], [1] * 22):
+        shard = sharding.minimax_shards(np.array(sizes), 24)
+        assert len(set(shard.tolist())) == len(sizes) and shard.max() < 24
+    one = spark.createDataFrame([(k, "copy") for k in range(50)], "doc_id bigint, text string")
+    nulls = spark.createDataFrame([(k, None) for k in range(50)], "doc_id bigint, text string")
+    for df in (one, nulls, one.unionByName(nulls)):
+        found = sharding.assign_shards(df).toArrow().to_pandas()
+        assert len(found) == df.count() and found["shard"].between(0, 23).all()
+        for _, own in found.groupby("shard"):
+            assert sorted(own["slot"]) == list(range(len(own)))
+
+
+def test_written_shards_keep_null_and_repeated_ids(spark, tmp_path):
+    df = awkward(spark, [(5, "another text"), (None, "alpha"), (None, None)])
+    sharding.write_shards(df, str(tmp_path / "shards"), shards=3)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted(map(repr, back.select(df.columns).collect())) == sorted(map(repr, df.collect()))
+    assert back.select("shard", "slot").distinct().count() == df.count()
