@@ -105,7 +105,7 @@ def threshold(scored: DataFrame) -> float:
         F.sum((~F.col("allowed")).cast("double")).alias("bad"))  # at most BINS rows
     below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    share = lambda c: F.coalesce(F.sum(c).over(below), F.lit(0.0)) / F.sum(c).over(whole)
+    share = lambda c: F.try_divide(F.coalesce(F.sum(c).over(below), F.lit(0.0)), F.sum(c).over(whole))
     best = (curve.withColumns({"cost": share("good") - share("bad"),
                                "before": F.lag("step").over(Window.orderBy("step"))})
             .where("cost IS NOT NULL").orderBy("cost", "step").first())
@@ -117,16 +117,17 @@ def threshold(scored: DataFrame) -> float:
 def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` for every row of ``pages``.
 
-    URLs that a rule decides are the labels. A null URL, or one without ``://``,
-    has an empty host and path and is scored as an empty string. Repeated rows
-    stay; equal sites are scored once.
+    URLs that a rule decides are the labels. The models see the whole URL; host
+    and path serve the rules. A null URL, or one without ``://``, has an empty
+    host and path; a null one is scored as an empty string. Repeated rows stay;
+    equal URLs are scored once.
     """
     host, path = url_parts(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"), F.coalesce("url", F.lit("")).alias("site"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("decided"),
-                       F.concat("host", "path").alias("site"))
-    # A site is known by host and path; its label follows from them.
+                       "site")
+    # The label follows from the URL.
     sites = stored(rows.groupBy("site").agg(F.max("decided").alias("decided")), "url-sites")
     held = F.pmod(F.crc32(F.col("site").cast("binary")), F.lit(5)) == 0
     learn = lambda v: F.coalesce(((F.col("decided") == v) & ~held), F.lit(False)).cast("bigint")

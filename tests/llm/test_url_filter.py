@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import Counter
 
 import pytest
@@ -92,3 +93,21 @@ def test_learned_verdicts_follow_the_labels(spark):
 def test_empty_table_and_missing_class(spark):
     assert uf.filter_urls(pages(spark, [])).count() == 0
     assert uf.filter_urls(pages(spark, ["http://a.net/x", None])).count() == 2
+
+
+def test_models_see_the_whole_url(spark):
+    urls = [*URLS, "http://z.net/en/9", "https://z.net/en/9?a=1", "https://z.net/en/9#a", "other words"]
+    found = {urls[r.page_id]: r.score for r in uf.filter_urls(pages(spark, urls)).collect()}
+    decided = {u: rule_of(*parts(u))[1] for u in urls}
+    with_crc = lambda u: zlib.crc32((u or "").encode()) % 5 == 0
+    sites = {u or "": {"allow": "accepted", "block": "rejected"}.get(None if with_crc(u) else decided[u]) for u in urls}
+    wanted = brute_scores(list(sites.items()))
+    assert all(abs(found[u] - wanted[u or ""]) < 1e-9 for u in urls)
+    assert len({found[u] for u in urls[-4:]} | {found["https://z.net/en/9"], found["no scheme"], found[""]}) == 7
+
+
+def test_verdicts_learn_from_queries(spark):
+    urls = [f"http://h{k}.example.com/fr/?ref=good{k}" for k in range(200)] + [f"http://h{k}.spam.com/de/?ad=bad{k}" for k in range(200)]
+    urls += [f"http://n{k}.net/p?ref=good{k}" for k in range(20)] + [f"http://n{k}.net/p?ad=bad{k}" for k in range(20)]
+    found = {r.page_id: r.verdict for r in uf.filter_urls(pages(spark, urls)).collect()}
+    assert [found[400 + k] for k in range(40)] == ["allow"] * 20 + ["block"] * 20
