@@ -1,7 +1,8 @@
 """Secret scan: wide candidates, and a random forest that removes false positives.
 
-A candidate is a run of at least twelve letters, digits and ``+/_-`` with a digit
-in it. The forest sees its length, character transitions, dictionary coverage,
+A candidate is a private-key block, any value assigned to a name such as
+``password`` (quoted, or up to white space), a token of dotted parts, or a run of
+at least twelve letters, digits and ``+/_-`` with a digit in it. The forest sees its length, character transitions, dictionary coverage,
 path and neighbouring words. All steps are DataFrame operations and Spark ML on
 the JVM.
 
@@ -22,7 +23,6 @@ from pyspark.sql import functions as F
 from barograph.llm.common import id_and_text, load, query, stored
 from barograph.session import scratch_path
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}"
 CONTEXT = 48  # characters kept on either side
 #: Labelled findings used for fitting, about; chosen by a hash.
 SAMPLE_FINDINGS = 20_000
@@ -30,6 +30,17 @@ THRESHOLD = 0.5
 MASK = "[SECRET]"
 #: Fixed word lists: names that secrets are assigned to, words beside harmless values, and a small dictionary.
 SECRET_NAMES = "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key"
+#: What stands between a name and its value, of bounded length.
+ASSIGN = r"[\"']?\s{0,3}[=:]{1,2}\s{0,3}[\"']?"
+PRIVATE_KEY = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----"
+_ASSIGNED = rf"(?<=[=:\s\"'])(?<=[=:]\s{{0,3}}[\"']?)(?<=(?i:{SECRET_NAMES}){ASSIGN})"
+CANDIDATE = "|".join((
+    PRIVATE_KEY,
+    _ASSIGNED + r"(?:(?<=\")[^\"\r\n]*[\p{L}\p{N}][^\"\r\n]*(?=\")|(?<=')[^'\r\n]*[\p{L}\p{N}][^'\r\n]*(?=')|"
+    r"(?=\S*[\p{L}\p{N}])[^\s\"'=](?:\S*[^\s.,;:)\]}\"'<>])?)",
+    r"(?<![A-Za-z0-9+/_\-.])(?:eyJ[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]{5,}(?:\.[A-Za-z0-9_\-]+){0,3}|"
+    r"(?=[A-Za-z_\-.]*[0-9])[A-Za-z0-9_\-]{2,}(?:\.[A-Za-z0-9_\-]{6,}){2,4})(?![A-Za-z0-9+/_\-])",
+    r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}"))
 HARMLESS_NAMES = "example|sample|dummy|placeholder|commit|checksum|sha1|sha256|md5|uuid|order|invoice|card|phone|isbn|page|id"
 DICTIONARY = ("about|account|after|again|also|and|apple|are|article|because|been|book|build|but|can|change|city|class|"
               "code|come|company|config|content|data|date|day|default|do|document|error|even|event|example|file|find|"
@@ -41,7 +52,10 @@ DICTIONARY = ("about|account|after|again|also|and|apple|are|article|because|been
               "url|use|user|value|version|very|view|want|was|way|we|web|week|well|what|when|which|who|will|with|word|"
               "work|world|would|www|year|you|your")
 FORMATS = (r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9\-]{10,}$|"
-           r"^sk[-_](live[-_]|test[-_])?[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_\-]{35}$|^glpat-[A-Za-z0-9_\-]{20}$")
+           r"^sk[-_](live[-_]|test[-_])?[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_\-]{35}$|^glpat-[A-Za-z0-9_\-]{20}$|"
+           r"^eyJ[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]{5,}(\.[A-Za-z0-9_\-]+){0,3}$|^-----BEGIN [A-Z ]*PRIVATE KEY-----")
+#: Strict rule for secrets; a bare word after a colon may be prose and stays undecided.
+SEED_SECRET = "provider = 1 OR (named = 1 AND assigned = 1 AND numeric = 0 AND bare_word = 0)"
 UUID = r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
 FEATURES = ("length", "distinct", "letter_digit", "digit_letter", "case_changes", "vowel_pairs", "digits", "capitals",
             "hex", "numeric", "separators", "coverage", "in_path", "has_extension", "provider", "named", "assigned",
@@ -59,7 +73,9 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
         F.split("text", CANDIDATE, -1).alias("between")).where("size(found) > 0")
     beside = F.transform("found", lambda c, i: F.struct(
-        c.alias("candidate"), F.right(F.get("between", i), F.lit(CONTEXT)).alias("before"),
+        c.alias("candidate"),
+        # The candidate before may hold the name that this one is assigned to.
+        F.right(F.concat(F.coalesce(F.get("found", i - 1), F.lit("")), F.get("between", i)), F.lit(CONTEXT)).alias("before"),
         F.left(F.get("between", i + 1), F.lit(CONTEXT)).alias("after")))
     return split.select("doc_id", "text_key", F.posexplode(beside).alias("number", "c")).select(
         "doc_id", "text_key", "number", "c.candidate", "c.before", "c.after")
@@ -83,11 +99,12 @@ def with_features(found: DataFrame) -> DataFrame:
         "digits": count("[0-9]"), "capitals": count("[A-Z]"),
         "hex": _matches(c, "^[0-9a-fA-F]+$"), "numeric": _matches(c, "^[0-9]+$"),
         "separators": count("[/_\\-+]"), "coverage": covered / length,
-        "in_path": _matches(F.concat(before, c), r"(://|/)[^\s]*$"),
+        "in_path": _matches(before, r"(://|/)[^\s]*$"),
         "has_extension": _matches(after, r"^\.[A-Za-z]{2,4}\b"),
         "provider": _matches(c, FORMATS),
-        "named": _matches(before, f"(?i)({SECRET_NAMES})[^A-Za-z0-9]{{0,6}}$"),
+        "named": _matches(before, f"(?i)({SECRET_NAMES})[^A-Za-z0-9]{{0,10}}$"),
         "assigned": _matches(before, "[=:]\\s*[\"']?$"),
+        "bare_word": _matches(c, "^[A-Za-z]+$") * _matches(before, ":\\s+$"),
         "quoted": _matches(F.concat(F.right(before, F.lit(1)), F.left(after, F.lit(1))), "^(\"\"|'')$"),
         "harmless": _matches(before, f"(?i)\\b({HARMLESS_NAMES})[^A-Za-z0-9]{{0,6}}$"),
         "sentence_after": _matches(after, r"^[.,;]?\s"),
@@ -96,10 +113,9 @@ def with_features(found: DataFrame) -> DataFrame:
 
 def seed_findings(described: DataFrame) -> DataFrame:
     """Labelled findings from the candidates that strict rules decide."""
-    secret = "provider = 1 OR (named = 1 AND assigned = 1 AND numeric = 0)"
     harmless = f"numeric = 1 OR in_path = 1 OR coverage >= 0.6 OR harmless = 1 OR regexp_like(candidate, '{UUID}')"
     return described.withColumn("label", F.expr(
-        f"CASE WHEN {secret} THEN 1.0D WHEN {harmless} THEN 0.0D END")).where("label IS NOT NULL")
+        f"CASE WHEN {SEED_SECRET} THEN 1.0D WHEN {harmless} THEN 0.0D END")).where("label IS NOT NULL")
 
 
 def fit_forest(findings: DataFrame, rows: int = SAMPLE_FINDINGS):
@@ -130,7 +146,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float =
     labelled = seed_findings(described) if findings is None else with_features(findings)
     assembler, forest = fit_forest(labelled)
     if forest is None:
-        chance = F.expr("CASE WHEN provider = 1 OR (named = 1 AND assigned = 1 AND numeric = 0) THEN 1.0D ELSE 0.0D END")
+        chance = F.expr(f"CASE WHEN {SEED_SECRET} THEN 1.0D ELSE 0.0D END")
         scored = described.withColumn("score", chance)
     else:
         scored = forest.transform(assembler.transform(described)).withColumn(
