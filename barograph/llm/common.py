@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from barograph.session import scratch_path
 
@@ -76,6 +77,18 @@ def id_and_text(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     return df.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Name of a row of ``docs`` by its ``doc_id`` and ``text``, null for neither.
+
+    Keys are in the order of the ids, null ids last; only rows equal in both share one.
+    """
+    name = F.col("doc_id")
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        name = F.lpad(F.hex(name.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(F.when(F.col("doc_id").isNull(), "1").otherwise(F.concat(F.lit("0"), name.cast("string"))),
+                    F.lit("\u0001"), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")))
+
+
 def per_batch(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` over slices of bounded size.
 

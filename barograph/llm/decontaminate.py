@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.llm import textbytes as tb
-from barograph.llm.common import id_and_text, load, per_batch, query, stored
+from barograph.llm.common import id_and_text, load, per_batch, query, row_key, stored
 
 WINDOW = 10
 SHINGLE = 3
@@ -212,8 +212,9 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``docs`` without any window of ``items``; all columns stay."""
-    hit = find_windows(id_and_text(docs), items).where("size(items) > 0").select("doc_id").distinct()
-    return docs.join(stored(hit, "contaminated"), "doc_id", "left_anti")
+    keyed = docs.select(row_key(docs).alias("doc_id"), "text")
+    hit = find_windows(keyed, items).where("size(items) > 0").select(F.col("doc_id").alias("_row_key")).distinct()
+    return docs.join(stored(hit, "contaminated"), row_key(docs) == F.col("_row_key"), "left_anti")
 
 
 @query(sql=r"""

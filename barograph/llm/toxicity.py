@@ -17,7 +17,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barograph.llm.common import id_and_text, load, per_batch, query, stored
+from barograph.llm.common import id_and_text, load, per_batch, query, row_key, stored
 
 #: Labelled rows used for fitting, about; chosen by a hash of their id.
 SAMPLE_ROWS = 30_000
@@ -130,18 +130,20 @@ def learn_lexicon(texts: DataFrame) -> dict[str, float]:
 
 
 def feature_table(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """``doc_id, features`` of every row."""
+    """``doc_id, features`` of every row, and its ``_row_key`` where ``docs`` has one."""
+    key = [name for name in docs.columns if name == "_row_key"]
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     memory: list[Weights] = []
 
     def run(batch):
         if not memory:
             memory.append(Weights(shared.value))
-        return {"doc_id": batch.column(0),
+        return {"doc_id": batch.column(0), **{name: batch.column(2) for name in key},
                 "features": [describe(text, memory[0]) for text in batch.column(1).to_pylist()]}
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return per_batch(docs.select("doc_id", "text"), run, f"doc_id {id_type}, features array<double>")
+    return per_batch(docs.select("doc_id", "text", *key), run, ", ".join(
+        [f"doc_id {id_type}", *[f"{name} string" for name in key], "features array<double>"]))
 
 
 def labelled_sample(labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -161,10 +163,13 @@ def labelled_sample(labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``doc_id, score`` of every row; ``labels`` has ``doc_id, toxic`` of the rows to learn from.
 
+    A ``_row_key`` in ``docs`` comes along.
+
     Where labels of one class only, or none, are left for fitting, the score is
     0. Rows with equal ids are scored one by one. Null and empty texts get the
     score of a text without any hit.
     """
+    key = [name for name in docs.columns if name == "_row_key"]
     # At most about SAMPLE_ROWS rows of three numbers: under a megabyte.
     sample = F.broadcast(stored(labelled_sample(labels, sample_rows), "labelled"))
     texts = stored(docs.join(sample, "doc_id").select("text", "toxic", "part"), "labelled-texts")
@@ -175,25 +180,26 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     rows = fitted.withColumn("vector", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double"))
     classes = {(r.part, r.toxic) for r in rows.select("part", "toxic").distinct().collect()}
     if not {(p, t) for p in (3, 4) for t in (0, 1)} <= classes:
-        return docs.select("doc_id", F.lit(0.0).alias("score"))
+        return docs.select("doc_id", *key, F.lit(0.0).alias("score"))
     trees = GBTClassifier(featuresCol="vector", labelCol="label", predictionCol="side", maxIter=20, maxDepth=3, stepSize=0.2, seed=7, maxMemoryInMB=64)
     model = trees.fit(rows.where("part = 3").coalesce(4))
     chance = vector_to_array("probability")[1]
     held = model.transform(rows.where("part = 4")).select("label", chance.alias("chance"))
     steps = IsotonicRegression(featuresCol="chance", labelCol="label", predictionCol="score").fit(held)
-    scored = model.transform(vectors).select("doc_id", chance.alias("chance"))
+    scored = model.transform(vectors).select("doc_id", *key, chance.alias("chance"))
     return steps.transform(scored).select(
-        "doc_id", F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0)).alias("score"))
+        "doc_id", *key, F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` scored below ``threshold``; all columns stay.
 
-    Of rows with equal ids all go if one is toxic; rows with a null id stay.
+    Each row is decided by its own text, also where ids are null or repeated.
     """
-    scores = stored(toxicity_scores(id_and_text(docs), labels), "toxicity-scores")
-    toxic = scores.where(F.col("score") >= threshold).select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti")
+    keyed = docs.select("doc_id", "text", row_key(docs).alias("_row_key"))
+    scores = stored(toxicity_scores(keyed, labels), "toxicity-scores")
+    toxic = scores.where(F.col("score") >= threshold).select("_row_key").distinct()
+    return docs.join(toxic, row_key(docs) == F.col("_row_key"), "left_anti")
 
 
 def remainder(doc_id):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barograph.llm.common import id_and_text, load, ship_package, stored
+from barograph.llm.common import id_and_text, load, row_key, ship_package, stored
 from barograph.llm.decontaminate import clean_documents
 from barograph.llm.jaccard_join import near_duplicates
 from barograph.llm.packing import pack_documents
@@ -26,13 +26,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five words, Jaccard 0.8) the smallest id stays.
 
-    Of rows with equal ids one stays; rows with a null id stay as they are.
+    Null ids come last. Rows with equal ids and different texts are documents of
+    their own; of rows with equal ids and texts one stays.
     """
     ship_package(spark)
-    found = near_duplicates(id_and_text(docs))
-    kept = stored(found.where("doc_id = component_id").select("doc_id").distinct(), "kept-ids")
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    found = near_duplicates(docs.select(row_key(docs).alias("doc_id"), "text"))
+    kept = stored(found.where("doc_id = component_id").select(F.col("doc_id").alias("_row_key")).distinct(), "kept-rows")
+    return (docs.withColumn("_row_key", row_key(docs)).join(kept, "_row_key", "left_semi")
+            .dropDuplicates(["_row_key"]).select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
