@@ -21,8 +21,6 @@ from barograph.llm.common import id_and_text, load, query, slices, stored
 from barograph.llm.ordered import range_bounds, range_of
 
 K = 10
-#: Texts below SHORT code points have too few k-mers of that length and use shorter ones.
-SHORT, SHORT_K = 64, 3
 TUPLE = 2
 SKETCHES = 64
 _SALT = np.uint64(0xD1B54A32D192ED03)
@@ -43,7 +41,7 @@ def sketch(text: str) -> np.ndarray:
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     np.cumsum(values * up[:n], out=sums[1:])
-    k = min(SHORT_K if n < SHORT else K, n)
+    k = min(K, n)
     count = n - k + 1
     kmers = tb.mixed((sums[k:] - sums[:count]) * down[:count])
     place_bits = np.uint64(max(1, count.bit_length()))

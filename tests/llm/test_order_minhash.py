@@ -68,3 +68,10 @@ def test_empty_and_single_row_tables(spark):
     assert om.fingerprints(id_and_text(empty(spark))).count() == 0
     row = om.fingerprints(id_and_text(awkward(spark).where("doc_id = 1"))).first()
     assert row.near_next == 1.0 and row.n_chars == 30
+
+
+def test_likeness_does_not_break_at_a_length():
+    text = prose(5, 60)
+    for n in range(30, 110):
+        assert om.likeness(om.sketch(text[:n]), om.sketch(text[:n + 1])) > 0.5
+    assert om.likeness(om.sketch(text[:75]), om.sketch(om.edited(text[:75], "x"))) > 0.3
