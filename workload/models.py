@@ -363,7 +363,9 @@ def sample_sink_by_key(spark, sf_dir):
 @query(f"""SELECT CAST(i AS INTEGER) AS index, [{', '.join(f"'{c}_imputed'" for c in FEATURES_14)}][i + 1] AS column
   FROM range(0, {len(FEATURES_14)}) t(i)""")
 def feature_list_table(spark, sf_dir):
-    return feature_list(load(spark, sf_dir, "events"), feature_plan(FEATURES_14).inputs)
+    """Inputs of a plan over the columns that have values in the clean observations."""
+    rows = clean(spark, sf_dir)
+    return feature_list(rows, feature_plan(split_empty_columns(rows, FEATURES_14)[0]).inputs)
 
 
 @query("""SELECT count(*) AS rows, 'AA1,AA2' AS precipitation_columns FROM events""")
