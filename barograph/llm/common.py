@@ -98,6 +98,7 @@ def per_batch(df: DataFrame, function, schema: str) -> DataFrame:
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship_package(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,6 +11,7 @@ from barograph.llm import (  # noqa: F401
     sharding,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from barograph.llm.common import ORACLES, QUERIES
 
