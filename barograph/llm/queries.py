@@ -12,6 +12,7 @@ from barograph.llm import (  # noqa: F401
     toxicity,
     url_filter,
     vector_codes,
+    whitening,
 )
 from barograph.llm.common import ORACLES, QUERIES
 
