@@ -1,6 +1,7 @@
 """All registered queries of the corpus operators."""
 
 from barograph.llm import (  # noqa: F401
+    chat_format,
     decontaminate,
     jaccard_join,
     order_minhash,
