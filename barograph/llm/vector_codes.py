@@ -44,35 +44,42 @@ class Codebooks:
         return ",".join(map(str, self.entries.reshape(-1).tolist()))
 
 
-def nearest(values: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of each row's nearest entry, the lowest of equally near ones, and the squared distance."""
-    width = entries.shape[1]
+def nearest(values: np.ndarray, entries: np.ndarray, block: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """Index of each row's nearest entry, the lowest of equally near ones, and the squared distance.
+
+    Goes outward by blocks of entries, so that the distances of many rows to a
+    block are one product of matrices.
+    """
+    size, width = entries.shape
     reach = int(max(np.abs(values).max(initial=0), np.abs(entries).max(initial=0)))
-    if (2 * width * reach) ** 2 >= 1 << 62:  # Python's integers, where squares of sums leave 64 bits
-        values, entries = values.astype(object), entries.astype(object)
-    sums = entries.sum(1)
-    order = np.argsort(sums, kind="stable")
-    ladder, own = sums[order], values.sum(1)
-    right = np.searchsorted(ladder, own)
-    which = order[np.minimum(right, len(order) - 1)]
-    best = ((values - entries[which]) ** 2).sum(1)
-    everyone = np.arange(len(values))
-    searching = {1: (right, everyone), -1: (right - 1, everyone)}
-    for step in range(len(order)):
-        for way, (start, rows) in searching.items():
-            at = start[rows] + way * step
-            there = (at >= 0) & (at < len(order))
-            rows, at = rows[there], at[there]
-            gap = ladder[at] - own[rows]
-            hopeful = (gap * gap <= width * best[rows]).astype(bool)
-            rows, entry = rows[hopeful], order[at[hopeful]]
-            distance = ((values[rows] - entries[entry]) ** 2).sum(1)
-            better = ((distance < best[rows]) | ((distance == best[rows]) & (entry < which[rows]))).astype(bool)
-            best[rows[better]], which[rows[better]] = distance[better], entry[better]
-            searching[way] = (start, rows)
-        if not any(len(rows) for _, rows in searching.values()):
-            break
-    return which, best
+    # Whole numbers are exact in floats up to 2^53; beyond, Python's integers.
+    kind = np.float64 if 4 * width * reach ** 2 * max(size, width) < 1 << 53 else object
+    order = np.argsort(entries.sum(1), kind="stable")
+    values, entries = values.astype(kind), entries[order].astype(kind)
+    own, ladder = values.sum(1), entries.sum(1)
+    own_squares, squares = (values * values).sum(1), (entries * entries).sum(1)
+
+    def ranked(rows: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Least of distance * size + index."""
+        distance = own_squares[rows, None] - 2 * (values[rows] @ entries[low:high].T) + squares[low:high]
+        return (distance * size + order[low:high]).min(1)
+
+    first = np.minimum(np.searchsorted(ladder, own), size - 1) // block
+    best = np.empty(len(values), kind)
+    for home in np.unique(first):
+        mine = np.flatnonzero(first == home)
+        best[mine] = ranked(mine, home * block, min((home + 1) * block, size))
+        for way in (1, -1):
+            rows, at = mine, home + way
+            while len(rows) and 0 <= at * block < size:
+                low, high = at * block, min((at + 1) * block, size)
+                gap = ladder[low if way > 0 else high - 1] - own[rows]
+                rows = rows[(gap * gap <= width * (best[rows] // size)).astype(bool)]
+                if len(rows):
+                    best[rows] = np.minimum(best[rows], ranked(rows, low, high))
+                at += way
+    distance = best // size
+    return (best % size).astype(np.int64), distance if kind is object else distance.astype(np.int64)
 
 
 def _parted(matrix: np.ndarray, parts: int) -> np.ndarray:

@@ -59,7 +59,7 @@ def found_rows(coded):
 @settings(max_examples=120, deadline=None)
 @given(st.integers(1, 4).flatmap(lambda d: st.tuples(
     st.lists(st.lists(st.integers(-6, 6), min_size=d, max_size=d), min_size=1, max_size=12),
-    st.lists(st.lists(st.integers(-6, 6), min_size=d, max_size=d), min_size=1, max_size=12))), st.sampled_from([1, 1 << 29]))
+    st.lists(st.lists(st.integers(-6, 6), min_size=d, max_size=d), min_size=1, max_size=40))), st.sampled_from([1, 1 << 29]))
 def test_outward_search_equals_full_search_with_ties(case, factor):
     values, entries = (np.array(side, np.int64) * factor for side in case)
     which, best = vector_codes.nearest(values, entries)
