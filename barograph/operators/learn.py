@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barograph.operators.features import FeaturePlan, SharedPrepPipeline
+from barograph.operators.nested import SIZE, idle_share, nested_scores
 from barograph.operators.presets import Preset
 from barograph.operators.split import BUCKETS
 
@@ -81,7 +82,9 @@ def grid_search(
 
     ``fold_column`` holds reproducible fold numbers, or for a single split a
     number below 100 of which the lower ``train_ratio`` trains; without it Spark
-    draws the folds. The caller persists ``df``.
+    draws the folds. Grid points that differ in the number of trees only share
+    one fit for each fold, see ``nested``; unless ``parallelism`` is given, as
+    many fits run at once as leave no core idle. The caller persists ``df``.
     """
     estimator = FAMILIES[preset.family](**preset.fixed)
     builder = ParamGridBuilder()
@@ -94,6 +97,13 @@ def grid_search(
         evaluator=RegressionEvaluator(labelCol="label", metricName="rmse"),
         parallelism=parallelism or preset.parallelism, seed=SEED)
     grid = [{param.name: value for param, value in point.items()} for point in param_maps]
+    size = SIZE.get(preset.family)
+    if fold_column and len(preset.grid.get(size, ())) > 1:
+        started = time.monotonic()
+        at_once = parallelism or max(preset.parallelism, idle_share(df))
+        scores = nested_scores(_folds(df, preset, fold_column), plan.stages, estimator, param_maps, size, at_once)
+        model = common["estimator"].fit(df, param_maps[scores.index(min(scores))])
+        return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
     if preset.train_ratio is not None and fold_column:
         started = time.monotonic()
         model, scores = _single_split(df, common, preset.train_ratio, fold_column)
@@ -111,6 +121,14 @@ def grid_search(
     return Search(fitted.bestModel, grid, [float(s) for s in scores], seconds, plan.inputs)
 
 
+def _folds(df: DataFrame, preset: Preset, column: str) -> list[tuple[DataFrame, DataFrame]]:
+    """Training and held-out rows of every fold, or of the single split."""
+    if preset.train_ratio is not None:
+        is_train = F.col(column) < round(preset.train_ratio * BUCKETS)
+        return [(df.where(is_train), df.where(~is_train))]
+    return [(df.where(F.col(column) != k), df.where(F.col(column) == k)) for k in range(preset.folds)]
+
+
 def _single_split(df: DataFrame, common: dict, ratio: float, column: str):
     """Best model, refitted on all rows, and the scores on the rows above the ratio."""
     estimator, points = common["estimator"], common["estimatorParamMaps"]

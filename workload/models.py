@@ -94,6 +94,45 @@ def rf_stump_importances(spark, sf_dir):
     return top_k(importance_table(rows, model.stages[-1], plan.inputs), "importance", "feature_index", 2)
 
 
+# Searches over the number of trees: one fit a fold, all sizes scored from it.
+
+def _cut_value(stump: str, x: str = "l_quantity") -> str:
+    return f"(SELECT CASE WHEN {x} <= v THEN low ELSE high END FROM {stump})"
+
+
+_FOLD_SQL = hash_bucket_sql("l_orderkey", 2).replace("md5(", "md5('fold|' || ")
+_SIZES_SQL = f"WITH priced AS (SELECT l_quantity, l_extendedprice / 1000 AS label, {_FOLD_SQL} AS fold FROM lineitem), " + ", ".join(
+    f"""fit{k} AS (SELECT * FROM priced WHERE fold <> {k}), {_stump_sql(f'one{k}', f'fit{k}', 'label')},
+  left{k} AS (SELECT l_quantity, 2 * (label - {_cut_value(f'one{k}')}) AS residual FROM fit{k}),
+  {_stump_sql(f'two{k}', f'left{k}', 'residual')},
+  held{k} AS (SELECT label - {_cut_value(f'one{k}')} AS first, label - {_cut_value(f'one{k}')} - 0.1 * {_cut_value(f'two{k}')} AS second
+    FROM priced WHERE fold = {k})""" for k in (0, 1))
+
+
+def _mean_rmse(error: str) -> str:
+    return r(" + ".join(f"(SELECT sqrt(avg({error} * {error})) FROM held{k}) / 2" for k in (0, 1)), "cv_rmse")
+
+
+def _size_search(spark: SparkSession, sf_dir: str, family: str, grid: dict, **fixed) -> DataFrame:
+    data = with_fold(_prices(spark, sf_dir), ["l_orderkey"], 2)
+    with persisted(data):
+        preset = Preset(family, grid, folds=2, fixed={"maxBins": 64, **fixed})
+        return rounded(cv_table(data, grid_search(data, feature_plan(["l_quantity", "nothing"], impute=()), preset, "fold")))
+
+
+@query(f"""{_SIZES_SQL} SELECT n AS "numTrees", CAST(1 AS INTEGER) AS "maxDepth", {_mean_rmse('first')}
+  FROM (VALUES (CAST(1 AS INTEGER)), (2), (4)) AS t(n)""")
+def rf_prefix_scores(spark, sf_dir):
+    """Forests without sampling, whose trees are all the best cut."""
+    return _size_search(spark, sf_dir, "rf", {"numTrees": [1, 2, 4], "maxDepth": [1]}, bootstrap=False, featureSubsetStrategy="all")
+
+
+@query(f"""{_SIZES_SQL} SELECT CAST(1 AS INTEGER) AS "maxIter", CAST(1 AS INTEGER) AS "maxDepth", {_mean_rmse('first')}
+  UNION ALL SELECT 2, 1, {_mean_rmse('second')}""")
+def gbt_prefix_scores(spark, sf_dir):
+    return _size_search(spark, sf_dir, "gbt", {"maxIter": [1, 2], "maxDepth": [1]}, stepSize=0.1)
+
+
 # Searches over the penalty of a linear model: every score has a closed form.
 
 _PENALTIES = (0.0, 0.1, 1.0)
