@@ -18,10 +18,16 @@ from barograph.functions.derived import nan_to_null
 
 @dataclass(frozen=True)
 class FeaturePlan:
-    """Stages of a feature pipeline and the assembled column names in order."""
+    """Stages of a feature pipeline and the assembled column names in order.
+
+    ``numeric`` names the source columns where the inputs are these, imputed as
+    far as ``imputed`` says, and nothing else.
+    """
 
     stages: list
     inputs: list[str]
+    numeric: tuple[str, ...] = ()
+    imputed: tuple[str, ...] = ()
 
 
 def feature_plan(
@@ -57,7 +63,8 @@ def feature_plan(
     if scale:
         stages.append(StandardScaler(
             inputCol=assembled, outputCol="features", withMean=False, withStd=True))
-    return FeaturePlan(stages, inputs)
+    plain = not categorical and not scale
+    return FeaturePlan(stages, inputs, tuple(numeric) if plain else (), tuple(n for n in numeric if n in imputed) if plain else ())
 
 
 def with_imputed(df: DataFrame, medians: dict[str, float], suffix: str = "_imputed") -> DataFrame:

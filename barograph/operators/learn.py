@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barograph.operators.features import FeaturePlan, SharedPrepPipeline
+from barograph.operators.moments import linear_moments, penalty_scores
 from barograph.operators.nested import SIZE, idle_share, nested_scores
 from barograph.operators.presets import Preset
 from barograph.operators.split import BUCKETS
@@ -84,7 +85,9 @@ def grid_search(
     number below 100 of which the lower ``train_ratio`` trains; without it Spark
     draws the folds. Grid points that differ in the number of trees only share
     one fit for each fold, see ``nested``; unless ``parallelism`` is given, as
-    many fits run at once as leave no core idle. The caller persists ``df``.
+    many fits run at once as leave no core idle. Penalties of a linear model are
+    scored from sufficient statistics of the folds, see ``moments``. The caller
+    persists ``df``.
     """
     estimator = FAMILIES[preset.family](**preset.fixed)
     builder = ParamGridBuilder()
@@ -98,6 +101,11 @@ def grid_search(
         parallelism=parallelism or preset.parallelism, seed=SEED)
     grid = [{param.name: value for param, value in point.items()} for point in param_maps]
     size = SIZE.get(preset.family)
+    if fold_column and preset.family == "linear" and set(preset.grid) == {"regParam"} and not preset.fixed and plan.numeric:
+        started = time.monotonic()
+        scores = _penalty_search(df, plan, preset, fold_column)
+        model = common["estimator"].fit(df, param_maps[scores.index(min(scores))])
+        return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
     if fold_column and len(preset.grid.get(size, ())) > 1:
         started = time.monotonic()
         at_once = parallelism or max(preset.parallelism, idle_share(df))
@@ -121,6 +129,18 @@ def grid_search(
     return Search(fitted.bestModel, grid, [float(s) for s in scores], seconds, plan.inputs)
 
 
+def _penalty_search(df: DataFrame, plan: FeaturePlan, preset: Preset, column: str) -> list[float]:
+    """Mean RMSE over the folds, or on the rows above the split, of every penalty."""
+    if preset.train_ratio is not None:
+        part = F.when(F.col(column) < round(preset.train_ratio * BUCKETS), 0).otherwise(1)
+        folds = [([0], [1])]
+    else:
+        part = F.col(column)
+        folds = [([p for p in range(preset.folds) if p != k], [k]) for k in range(preset.folds)]
+    found = linear_moments(df.withColumn("_part", part), list(plan.numeric), by="_part", impute=plan.imputed)
+    return penalty_scores(found, preset.grid["regParam"], folds)
+
+
 def _folds(df: DataFrame, preset: Preset, column: str) -> list[tuple[DataFrame, DataFrame]]:
     """Training and held-out rows of every fold, or of the single split."""
     if preset.train_ratio is not None:

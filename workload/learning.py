@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
@@ -15,7 +16,7 @@ from barograph.operators.aggregate import (
     cv_summary, errors_by_range, mean_baseline, regression_metrics, top_k,
 )
 from barograph.operators.compare import (
-    best_model, compare_models, pairwise_deltas, top_features, union_metrics,
+    best_model, compare_models, pairwise_deltas, top_features,
 )
 from barograph.operators.derive import FEATURES_14, with_errors
 from barograph.operators.features import feature_plan, with_imputed
@@ -23,6 +24,7 @@ from barograph.operators.learn import (
     baseline_linear, boosted, coefficient_table, cv_table, forest, grid_search, importance_table,
     linear, rows_table, training_row,
 )
+from barograph.operators.moments import Line, fit_line, linear_moments
 from barograph.operators.presets import PRESETS, Preset
 from barograph.operators.quality import complete_cases, fit_median_fill
 from barograph.operators.split import hash_split, split_parts, with_fold
@@ -217,18 +219,22 @@ def evaluate_linear_by_range(spark, sf_dir):
 
 
 def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three models of the same split: training mean, one feature, two features."""
+    """Three models of the same split: training mean, one feature, two features.
+
+    One scan gives the statistics all three are fitted from, another all their measures.
+    """
     rows = weather_rows(spark, sf_dir)
-    train, _ = split_parts(rows)
-    mean = mean_baseline(rows, F.col("split") == "train").first()["train_mean"]
-    scored = {
-        "mean": rows.withColumn("prediction", F.lit(mean)),
-        "linear_one": fit_weather(train, WEATHER[:1]).transform(rows),
-        "linear_two": fit_weather(train, WEATHER).transform(rows),
+    train = linear_moments(rows, WEATHER, by="split").total(["train"])
+    fitted = {
+        "mean": (Line(np.zeros(0), float(train.mean[-1])), []),
+        "linear_one": (fit_line(train.of([0]), 0.1), WEATHER[:1]),
+        "linear_two": (fit_line(train, 0.1), WEATHER),
     }
+    scored = rows.select("split", "label", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("model"), line.prediction(features).alias("prediction"))
+        for name, (line, features) in fitted.items()])))
     # A handful of rows, written once: what follows reads them several times.
-    measured = stored(union_metrics({
-        name: regression_metrics(df, "split") for name, df in scored.items()}), "measured")
+    measured = stored(regression_metrics(scored, "model", "split"), "measured")
 
     def part(name: str) -> DataFrame:
         return measured.where(F.col("split") == name).select("model", *[

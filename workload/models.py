@@ -206,6 +206,30 @@ def lr_single_split(spark, sf_dir):
     return rounded(cv_table(data, search, "rmse"), "rmse")
 
 
+_GAPPY_SQL = f"""gappy AS (SELECT dew_point, wind_speed, temperature AS label,
+    {hash_bucket_sql('event_id').replace('md5(', "md5('fold|' || ").replace('% 100', '% 2')} AS fold FROM kept), """ + ", ".join(
+    f"""filled{k} AS (SELECT {', '.join(f"coalesce({c}, (SELECT quantile_disc({c}, 0.5) FROM gappy WHERE fold <> {k})) AS {c}" for c in WEATHER)},
+    label, fold FROM gappy)""" for k in (0, 1))
+
+
+def _filled_score(penalty: float, k: int) -> str:
+    fit = _ridge_sql(f"filled{k}", "dew_point", "wind_speed", "label", penalty, f"fold <> {k}")
+    return (f"(WITH {fit} SELECT sqrt(avg(pow(label - (SELECT b0 FROM fit2) - (SELECT b1 FROM fit2) * dew_point "
+            f"- (SELECT b2 FROM fit2) * wind_speed, 2))) FROM filled{k} WHERE fold = {k})")
+
+
+@query(clean_sql(_GAPPY_SQL) + " " + " UNION ALL ".join(
+    f"SELECT CAST({p} AS DOUBLE) AS \"regParam\", {r(' + '.join(f'{_filled_score(p, k)} / 2' for k in (0, 1)), 'cv_rmse')}"
+    for p in _PENALTIES))
+def lr_imputed_cv_results(spark, sf_dir):
+    """Penalties scored from the statistics of each fold, gaps filled with its own medians."""
+    rows = clean(spark, sf_dir).select("event_id", *WEATHER, F.col("temperature").alias("label"))
+    preset = Preset("linear", {"regParam": list(_PENALTIES)}, folds=2)
+    data = with_fold(rows, ["event_id"], 2)
+    with persisted(data):
+        return rounded(cv_table(data, grid_search(data, feature_plan(WEATHER), preset, "fold")), "cv_rmse")
+
+
 # The history model: all earlier features, a split by time, medians and a linear model.
 
 _STATION_COLUMNS = tuple(STATION_AVERAGES.values())
