@@ -18,7 +18,7 @@ from barograph.operators.features import FeaturePlan, SharedPrepPipeline
 from barograph.operators.moments import linear_moments, penalty_scores
 from barograph.operators.nested import SIZE, idle_share, nested_scores
 from barograph.operators.presets import Preset
-from barograph.operators.split import BUCKETS
+from barograph.operators.split import BUCKETS, rolling_folds
 
 SEED = 42
 
@@ -77,10 +77,14 @@ class Search:
 
 def grid_search(
     df: DataFrame, plan: FeaturePlan, preset: Preset,
-    fold_column: str | None = None, parallelism: int | None = None,
+    fold_column: str | None = None, parallelism: int | None = None, rolling: bool = False,
 ) -> Search:
     """Fit every grid point, refit the best on all rows of ``df``.
 
+    With ``rolling``, ``fold_column`` holds the numbers of periods in time. Each
+    of the last ``folds`` periods is predicted from those before it only, so no
+    score rests on rows later than the ones it is for.
+
     ``fold_column`` holds reproducible fold numbers, or for a single split a
     number below 100 of which the lower ``train_ratio`` trains; without it Spark
     draws the folds. Grid points that differ in the number of trees only share
@@ -101,15 +105,18 @@ def grid_search(
         parallelism=parallelism or preset.parallelism, seed=SEED)
     grid = [{param.name: value for param, value in point.items()} for point in param_maps]
     size = SIZE.get(preset.family)
+    if rolling and (not fold_column or preset.train_ratio is not None):
+        raise ValueError("rolling folds need a column of periods and a preset with folds")
+    periods = _rolling(df, fold_column, preset.folds) if rolling else None
     if fold_column and preset.family == "linear" and set(preset.grid) == {"regParam"} and not preset.fixed and plan.numeric:
         started = time.monotonic()
-        scores = _penalty_search(df, plan, preset, fold_column)
+        scores = _penalty_search(df, plan, preset, fold_column, periods)
         model = common["estimator"].fit(df, param_maps[scores.index(min(scores))])
         return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
-    if fold_column and len(preset.grid.get(size, ())) > 1:
+    if fold_column and (rolling or len(preset.grid.get(size, ())) > 1):
         started = time.monotonic()
         at_once = parallelism or max(preset.parallelism, idle_share(df))
-        scores = nested_scores(_folds(df, preset, fold_column), plan.stages, estimator, param_maps, size, at_once)
+        scores = nested_scores(_folds(df, preset, fold_column, periods), plan.stages, estimator, param_maps, size, at_once)
         model = common["estimator"].fit(df, param_maps[scores.index(min(scores))])
         return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
     if preset.train_ratio is not None and fold_column:
@@ -129,9 +136,16 @@ def grid_search(
     return Search(fitted.bestModel, grid, [float(s) for s in scores], seconds, plan.inputs)
 
 
-def _penalty_search(df: DataFrame, plan: FeaturePlan, preset: Preset, column: str) -> list[float]:
+def _rolling(df: DataFrame, column: str, folds: int) -> list[tuple[list, list]]:
+    """Periods of the rolling folds; a table has few periods, whatever its rows."""
+    return rolling_folds([row[0] for row in df.select(column).distinct().collect()], folds)
+
+
+def _penalty_search(df: DataFrame, plan: FeaturePlan, preset: Preset, column: str, periods: list | None) -> list[float]:
     """Mean RMSE over the folds, or on the rows above the split, of every penalty."""
-    if preset.train_ratio is not None:
+    if periods is not None:
+        part, folds = F.col(column), periods
+    elif preset.train_ratio is not None:
         part = F.when(F.col(column) < round(preset.train_ratio * BUCKETS), 0).otherwise(1)
         folds = [([0], [1])]
     else:
@@ -141,8 +155,10 @@ def _penalty_search(df: DataFrame, plan: FeaturePlan, preset: Preset, column: st
     return penalty_scores(found, preset.grid["regParam"], folds)
 
 
-def _folds(df: DataFrame, preset: Preset, column: str) -> list[tuple[DataFrame, DataFrame]]:
+def _folds(df: DataFrame, preset: Preset, column: str, periods: list | None) -> list[tuple[DataFrame, DataFrame]]:
     """Training and held-out rows of every fold, or of the single split."""
+    if periods is not None:
+        return [(df.where(F.col(column) < held), df.where(F.col(column) == held)) for _, (held,) in periods]
     if preset.train_ratio is not None:
         is_train = F.col(column) < round(preset.train_ratio * BUCKETS)
         return [(df.where(is_train), df.where(~is_train))]

@@ -22,17 +22,26 @@ from pyspark.sql import functions as F
 SIZE = {"rf": "numTrees", "gbt": "maxIter"}
 
 
-def groups(grid: list[dict], size: str) -> list[dict[int, int]]:
-    """Grid points that differ in ``size`` only: the number of the point by size, one dict for each group."""
+def groups(grid: list[dict], size: str | None) -> list[dict[int, int]]:
+    """Grid points that differ in ``size`` only: the number of the point by size, one dict for each group.
+
+    Points without that parameter have the size None, and so each a group.
+    """
     found: dict[tuple, dict[int, int]] = {}
     for number, point in enumerate(grid):
         rest = tuple(sorted((name, repr(value)) for name, value in point.items() if name != size))
-        found.setdefault(rest, {})[point[size]] = number
+        found.setdefault(rest, {})[point.get(size)] = number
     return list(found.values())
 
 
 def prefix_scores(model, rows: DataFrame, sizes: list[int]) -> list[float]:
-    """RMSE of the first trees of ``model`` on ``rows`` (features, label), for every size, in one pass."""
+    """RMSE of the first trees of ``model`` on ``rows`` (features, label), for every size, in one pass.
+
+    The size None stands for the whole model, of any kind.
+    """
+    if sizes == [None]:
+        error = F.col("label") - F.col("prediction")
+        return [float(model.transform(rows).agg(F.sqrt(F.avg(error * error))).first()[0])]
     if hasattr(model, "evaluateEachIteration"):
         errors = model.evaluateEachIteration(rows, "squared")
         return [math.sqrt(errors[size - 1]) for size in sizes]

@@ -9,14 +9,10 @@ from pyspark.sql.types import TimestampType
 BUCKETS = 100
 
 
-def hash_bucket(df: DataFrame, keys: list[str], buckets: int = BUCKETS, salt: str = "") -> Column:
-    """Bucket number of a row from the MD5 of its keys.
-
-    It depends on the key values only, so the result is the same for every
-    partitioning and run. Another ``salt`` gives an independent assignment.
-    """
+def key_hash(df: DataFrame, keys: list[str], salt: str = "") -> Column:
+    """MD5 of the keys of a row as hexadecimal text, NULL as empty."""
     if not keys:
-        raise ValueError("hash_bucket needs at least one key column")
+        raise ValueError("a hash of a row needs at least one key column")
     types = {field.name: field.dataType for field in df.schema.fields}
 
     def text(name: str) -> Column:
@@ -28,8 +24,16 @@ def hash_bucket(df: DataFrame, keys: list[str], buckets: int = BUCKETS, salt: st
     parts = [text(name) for name in keys]
     if salt:
         parts.insert(0, F.lit(salt))
-    joined = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
-    return F.conv(F.substring(F.md5(joined), 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
+    return F.md5(parts[0] if len(parts) == 1 else F.concat_ws("|", *parts))
+
+
+def hash_bucket(df: DataFrame, keys: list[str], buckets: int = BUCKETS, salt: str = "") -> Column:
+    """Bucket number of a row from the MD5 of its keys.
+
+    It depends on the key values only, so the result is the same for every
+    partitioning and run. Another ``salt`` gives an independent assignment.
+    """
+    return F.conv(F.substring(key_hash(df, keys, salt), 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
 
 
 def hash_split(
@@ -73,3 +77,21 @@ def time_split(df: DataFrame, timestamp: str, cutoff: str, name: str = "split")
 def with_fold(df: DataFrame, keys: list[str], folds: int, name: str = "fold") -> DataFrame:
     """Add a reproducible fold number for ``CrossValidator(foldCol=...)``."""
     return df.withColumn(name, hash_bucket(df, keys, folds, salt="fold").cast("int"))
+
+
+def with_period(df: DataFrame, timestamp: str, unit: str = "month", name: str = "period") -> DataFrame:
+    """Add the number of the calendar ``unit`` (month, week, day) a row lies in, counted without gaps in the calendar."""
+    at = F.col(timestamp).cast("timestamp_ntz")
+    epoch = F.lit("1970-01-05").cast("timestamp_ntz")  # a Monday, and the first whole week
+    start = {"month": F.year(at) * 12 + F.month(at) - 1,
+             "week": F.floor(F.datediff(F.to_date(at), F.to_date(epoch)) / 7),
+             "day": F.datediff(F.to_date(at), F.to_date(epoch))}[unit]
+    return df.withColumn(name, start.cast("int"))
+
+
+def rolling_folds(periods, folds: int) -> list[tuple[list[int], list[int]]]:
+    """Training and held-out periods of the last ``folds`` origins: each period is predicted from all before it."""
+    ordered = sorted({p for p in periods if p is not None})
+    if len(ordered) <= folds:
+        raise ValueError(f"{folds} rolling folds need more than {len(ordered)} periods")
+    return [(ordered[:k], [ordered[k]]) for k in range(len(ordered) - folds, len(ordered))]

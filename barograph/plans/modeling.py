@@ -24,7 +24,7 @@ from barograph.operators.learn import (
 from barograph.operators.presets import PRESETS
 from barograph.operators.profile import summary_stats
 from barograph.operators.quality import complete_cases
-from barograph.operators.split import hash_split, sample_rows, split_parts, with_fold
+from barograph.operators.split import hash_split, sample_rows, split_parts, with_fold, with_period
 from barograph.session import materialize, persisted, spread
 from barograph.sources.models import load_model, save_model
 from barograph.sources.tables import (
@@ -37,7 +37,7 @@ ROW_KEYS = ("STATION", "timestamp")
 
 
 def _write_predictions(scored: DataFrame, path: str, rows: int, keys, kind: str = "parquet") -> None:
-    """Sample of about ``rows`` scored rows, chosen by their keys, or else by label and prediction."""
+    """Sample of ``rows`` scored rows, chosen by their keys, or else by label and prediction."""
     chosen = available(scored, keys) or ["label", "prediction"]
     write_sample(scored, path, rows, keys=chosen, kind=kind)
 
@@ -92,11 +92,13 @@ def run_training(
     spark: SparkSession, train_path: str, output_path: str, preset_name: str,
     features=FEATURES_14, target: str = "temperature", partitions: int | None = None,
     fold_keys=ROW_KEYS, handle_invalid: str = "keep", parallelism: int | None = None,
-    prediction_rows: int = 10_000,
+    prediction_rows: int = 10_000, rolling: tuple[str, str] | None = None,
 ) -> dict:
     """Grid search on a train table; writes model, metrics, scores and importances.
 
-    ``preset_name`` names a preset, or is one.
+    ``preset_name`` names a preset, or is one. ``rolling``, a time column and a
+    calendar unit, scores every one of the last periods by models of those
+    before it, in place of folds over all time.
     """
     preset = PRESETS[preset_name] if isinstance(preset_name, str) else preset_name
     mode = preset_name if isinstance(preset_name, str) else "custom"
@@ -104,14 +106,17 @@ def run_training(
     if preset.fraction < 1.0:
         rows = sample_rows(rows, preset.fraction)
     keys = available(rows, fold_keys)
-    if keys:
+    if rolling:
+        rows = with_period(rows, *rolling, name="fold")
+    elif keys:
         rows = with_fold(rows, keys, preset.fold_count)
+    folded = bool(rolling or keys)
     data = spread(
-        select_features(rows, features, target, keep=("fold", *keys) if keys else ()), partitions)
+        select_features(rows, features, target, keep=("fold", *keys) if folded else ()), partitions)
     with persisted(data):
         used, _ = split_empty_columns(data, features)
         plan = feature_plan(used, handle_invalid=handle_invalid)
-        search = grid_search(data, plan, preset, "fold" if keys else None, parallelism)
+        search = grid_search(data, plan, preset, "fold" if folded else None, parallelism, rolling=bool(rolling))
         scored = materialize(search.model.transform(data).select(*keys, "label", "prediction"))
     metrics = regression_metrics(scored).first()
     row = training_row(search, mode, preset.family, metrics["rows"], metrics, preset.fraction)
