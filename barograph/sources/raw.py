@@ -38,7 +38,7 @@ def read_raw(
     if header is not None:
         found, rows = [header], lines.select("value", F.lit(0).alias("layout"))
     else:
-        headers = materialize(file_headers(spark, path, glob))
+        headers = materialize(file_headers(spark, path, glob).where("header IS NOT NULL"))
         found = sorted(row["header"] for row in headers.select("header").distinct().collect())
         if not found:
             raise ValueError(f"no {glob} file with a header below {path}")
@@ -57,27 +57,31 @@ def read_raw(
 def _lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
     text = spark.read.option("pathGlobFilter", glob).text(path)
     return text.select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
     ).where(F.trim("value") != "")
 
 
 def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """Path and first non-blank line of every file (path, header).
+    """Path, first non-blank line and URI of every file (path, header, file); the line is NULL where there is none.
 
-    The lines of a file's first block reach one task in file order, so the
-    smallest running number marks the first one.
+    The files come from a listing that opens none of them and leaves out those
+    of no bytes. Of each only the first block is read for the line; its lines
+    reach one task in file order, so the smallest running number marks the first.
     """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(
+        "path", F.col("_metadata.file_path").alias("file"))
     first = _lines(spark, path, glob).where("start = 0").withColumn("at", F.monotonically_increasing_id())
-    return first.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    lines = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    return listed.join(lines, "file", "left").select("path", "header", "file")
 
 
 def _with_layout(lines: DataFrame, headers: DataFrame, found: list[str]) -> DataFrame:
     """Add the number of the file's header to every line."""
     known = F.array(*[F.lit(text) for text in found])
-    numbered = headers.select("path", (F.array_position(known, F.col("header")) - 1).cast("int").alias("layout"))
+    numbered = headers.select("file", (F.array_position(known, F.col("header")) - 1).cast("int").alias("layout"))
     if headers.count() <= BROADCAST_FILES:
         numbered = F.broadcast(numbered)
-    return lines.join(numbered, "path").select("value", "layout")
+    return lines.join(numbered, "file").select("value", "layout")
 
 
 def _names(header: str) -> list[str]:

@@ -204,6 +204,15 @@ def test_listing_reads_no_content(spark, tmp_path):
     assert "ReadSchema: struct<path:string>" in plan
 
 
+def test_files_without_a_header_are_listed(spark, tmp_path):
+    put(tmp_path, "a.csv", "STATION,TMP\n1,x\n")
+    put(tmp_path, "b.csv", "\n  \n")
+    put(tmp_path, "c.csv", "\n \nTMP,STATION\ny,2\n")
+    found = {r.path.rsplit("/", 1)[1]: r.header for r in file_headers(spark, str(tmp_path)).collect()}
+    assert found == {"a.csv": "STATION,TMP", "b.csv": None, "c.csv": "TMP,STATION"}
+    assert rows(read_raw(spark, str(tmp_path)), "STATION", "TMP") == [("1", "x"), ("2", "y")]
+
+
 def test_bounded_write(spark, tmp_path):
     path = str(tmp_path / "t")
     write_bounded(months(spark).repartition(8), path, files=2)
