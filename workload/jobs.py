@@ -7,11 +7,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from barograph.operators.derive import with_calendar
+from barograph.operators.history import HISTORY_COLUMNS, attach_history
 from barograph.operators.prepare import code_stage, fit_categories, fused_plan
 from barograph.plans.incremental import run_incremental_cleaning
 from barograph.plans.resume import Stages
 from barograph.session import scratch_path
+from barograph.sources.buckets import Buckets, joins_by_bucket, write_bucketed
 from barograph.sources.tables import read_table, write_table
+from workload.analytics import _HISTORY_SQL, _HOURLY_SQL, _history, _stations
 from workload.cleaning import GAPS, GAPS_SQL, packed, with_gaps
 from workload.common import Registry, hash_bucket_sql, load, r, rounded
 from workload.learning import _TYPED_SQL, _typed_parts
@@ -47,6 +50,20 @@ def incremental_cleaning_job(spark, sf_dir):
         F.lit(last.months == 0 and last.files_new == 0).alias("idle")))
 
 
+@query(f"""WITH {_HOURLY_SQL}, {_HISTORY_SQL}
+  SELECT e.event_id, {', '.join(r(f'h.{c}', c) for c in HISTORY_COLUMNS)}
+  FROM events e LEFT JOIN history h ON e.user_id = h.user_id
+    AND CAST(floor(epoch(e.ts) / 3600) * 3600 AS BIGINT) = h.hour_epoch""")
+def observation_history_bucketed(spark, sf_dir):
+    """The history of every observation from a table bucketed by station: no shuffle after it is written."""
+    path = scratch_path(spark, "stations")
+    table = write_bucketed(_stations(spark, sf_dir), path, f"stations_{path[-12:]}", Buckets("user_id", 8))
+    out = scratch_path(spark, "history")
+    with joins_by_bucket(spark):
+        write_table(attach_history(table, _history(table), "user_id", "ts").select("event_id", *HISTORY_COLUMNS), out)
+    return rounded(read_table(spark, out))
+
+
 @query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS orders,
   'totals' AS ran_again FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2""")
 def resumed_job(spark, sf_dir):
