@@ -211,7 +211,12 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows of ``docs`` without any window of ``items``; all columns stay."""
+    """Rows of ``docs`` without any window of ``items``; all columns stay.
+
+    Each row is decided by its own text, also where ids are null or repeated.
+    Null and empty texts stay, texts of any length are searched whole, and an
+    empty table, of documents or of items, takes nothing away.
+    """
     keyed = docs.select(row_key(docs).alias("doc_id"), "text")
     hit = find_windows(keyed, items).where("size(items) > 0").select(F.col("doc_id").alias("_row_key")).distinct()
     return docs.join(stored(hit, "contaminated"), row_key(docs) == F.col("_row_key"), "left_anti")

@@ -167,7 +167,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
 
     Where labels of one class only, or none, are left for fitting, the score is
     0. Rows with equal ids are scored one by one. Null and empty texts get the
-    score of a text without any hit.
+    score of a text without any hit. Texts of any length are scored whole. Only
+    ``doc_id`` and ``text`` of ``docs`` are read, whatever its other columns,
+    and an empty table gives no rows.
     """
     key = [name for name in docs.columns if name == "_row_key"]
     # At most about SAMPLE_ROWS rows of three numbers: under a megabyte.
@@ -194,7 +196,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` scored below ``threshold``; all columns stay.
 
-    Each row is decided by its own text, also where ids are null or repeated.
+    Each row is decided by its own text, also where ids are null or repeated or
+    the text is null, empty or very long. An empty table stays empty.
     """
     keyed = docs.select("doc_id", "text", row_key(docs).alias("_row_key"))
     scores = stored(toxicity_scores(keyed, labels), "toxicity-scores")

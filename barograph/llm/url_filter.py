@@ -120,7 +120,8 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     URLs that a rule decides are the labels. The models see the whole URL; host
     and path serve the rules. A null URL, or one without ``://``, has an empty
     host and path; a null one is scored as an empty string. Repeated rows stay;
-    equal URLs are scored once.
+    equal URLs are scored once. URLs of any length are scored whole, other
+    columns of ``pages`` are ignored, and an empty table gives no rows.
     """
     host, path = url_parts(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"), F.coalesce("url", F.lit("")).alias("site"))
