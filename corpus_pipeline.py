@@ -18,7 +18,10 @@ ORACLE_SQL = None
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts, repeated rows and null ids are scored like any other row; an empty table stays empty.
+    """
     ship_package(spark)
     return reject_toxic(docs, load(spark, sf_dir, "labels"))
 
@@ -37,12 +40,18 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
+    """Documents with a window of a benchmark item go.
+
+    Null and empty texts have none and stay; repeated rows and null ids are decided by their texts; an empty table stays empty.
+    """
     return clean_documents(docs, load(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Confirmed secrets are masked; every document stays, with its new length."""
+    """Confirmed secrets are masked; every document stays, with its new length.
+
+    Null texts stay null, repeated rows stay repeated, and an empty table stays empty.
+    """
     masked = mask_secrets(docs)
     if "n_chars" in masked.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(masked.schema["n_chars"].dataType))
@@ -50,7 +59,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place of every document's pieces in sequences of 2048 tokens."""
+    """Place of every document's pieces in sequences of 2048 tokens.
+
+    Null and empty texts are the end id alone, repeated rows are packed each, and an empty table gives no piece.
+    """
     ship_package(spark)
     # Workers of earlier stages are still there, so this one remembers less than packing alone.
     return pack_documents(id_and_text(docs), default_vocabulary(), remember=250_000)
