@@ -9,7 +9,8 @@ left is verified on the texts.
 A shingle's classes are never paired with each other all at once. In a round one
 class of each shingle is tested against its others, and what turns out connected
 needs no further test. A round with new classes follows, and the last round
-pairs what is still in different components and within the bounds.
+pairs what is still in different components and within the bounds, each pair at
+its first common shingle.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ SUFFIX_BINS = 64
 #: Bits of the filter that picks the texts of candidate classes.
 CLASS_BITS = 1 << 25
 STAR_ROUNDS = 2
+#: Shared shingles of a class that its rows carry, to tell whether two classes met before.
+FIRSTS = 16
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -185,22 +188,39 @@ def shared_prefixes(listed: DataFrame) -> DataFrame:
     return found
 
 
-def _may_link(percent: int):
+def _with_earlier(state: DataFrame, shared: DataFrame) -> DataFrame:
+    """``state`` with ``earlier``: the class's shared shingles before this one, of its first ``FIRSTS``."""
+    open_classes = state.select("class").distinct()
+    firsts = shared.where(F.col("rank") < FIRSTS).join(open_classes, "class", "left_semi").groupBy("class").agg(
+        F.collect_list(F.struct("rank", "gram")).alias("firsts"))
+    before = F.filter("firsts", lambda first: first["rank"] < F.col("rank"))
+    return state.join(firsts, "class").withColumn("earlier", F.transform(before, lambda first: first["gram"])).drop("firsts")
+
+
+def _may_link(percent: int, first_meeting: bool = False):
     """Length and position bounds for columns ``n, place, rank`` and the pivot's.
 
     Common shingles before this one stand in both prefixes, so they are among
-    those before it that either class shares with any other.
+    those before it that either class shares with any other. With
+    ``first_meeting`` a pair counts only where no earlier common shingle is
+    known: all prefixes have one order, so it was there at that shingle, too.
+    Then only those beyond the first ``FIRSTS`` of either can be common.
     """
     n, m, i, j = F.col("n"), F.col("pivot.n"), F.col("place"), F.col("pivot.place")
-    room = F.least(F.col("rank"), F.col("pivot.rank")) + 1 + F.least(n - i - 1, m - j - 1)
+    rank, other = F.col("rank"), F.col("pivot.rank")
+    before, new = F.least(rank, other), F.lit(True)
+    if first_meeting:
+        new = ~F.arrays_overlap("earlier", "pivot.earlier")
+        before = F.least(before, F.greatest(rank - FIRSTS, F.lit(0)) + F.greatest(other - FIRSTS, F.lit(0)))
+    room = before + 1 + F.least(n - i - 1, m - j - 1)
     return ((F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-            & (room * (100 + percent) >= (n + m) * percent))
+            & (room * (100 + percent) >= (n + m) * percent) & new)
 
 
-def _ordered_pairs(candidates: DataFrame, percent: int) -> DataFrame:
+def _ordered_pairs(candidates: DataFrame, percent: int, first_meeting: bool = False) -> DataFrame:
     own = F.struct(F.col("class").alias("class"), F.col("n").alias("n"))
     other = F.struct(F.col("pivot.class").alias("class"), F.col("pivot.n").alias("n"))
-    return (candidates.where(_may_link(percent))
+    return (candidates.where(_may_link(percent, first_meeting))
             .select(F.least(own, other).alias("x"), F.greatest(own, other).alias("y"))
             .select(F.col("x.class").alias("a"), F.col("x.n").alias("n_a"),
                     F.col("y.class").alias("b"), F.col("y.n").alias("n_b")).distinct())
@@ -298,9 +318,12 @@ def linked_classes(docs: DataFrame, members: DataFrame, size: int, percent: int)
             next_pivots = state.where("root <> pivot.root").groupBy("gram").agg(pivot)
             candidates = state.drop("pivot").join(next_pivots, "gram")
         else:
-            outside = state.where("root <> pivot.root").select("gram", F.struct(*row).alias("pivot"))
-            candidates = state.drop("pivot").join(outside, "gram")
-        pairs = _ordered_pairs(candidates.where("root <> pivot.root"), percent)
+            state = stored(_with_earlier(state, shared), "last-prefixes")
+            outside = state.where("root <> pivot.root").select("gram", F.struct(*row, "earlier").alias("pivot"))
+            inside = state.withColumn("at_pivot", F.expr("root = pivot.root")).drop("pivot")
+            # Of two classes outside the pivot's component each would meet the other.
+            candidates = inside.join(outside, "gram").where("at_pivot OR class < pivot.class")
+        pairs = _ordered_pairs(candidates.where("root <> pivot.root"), percent, turn == STAR_ROUNDS)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
