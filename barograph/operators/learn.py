@@ -78,6 +78,7 @@ class Search:
 def grid_search(
     df: DataFrame, plan: FeaturePlan, preset: Preset,
     fold_column: str | None = None, parallelism: int | None = None, rolling: bool = False,
+    share_trees: bool = False,
 ) -> Search:
     """Fit every grid point, refit the best on all rows of ``df``.
 
@@ -88,8 +89,11 @@ def grid_search(
     ``fold_column`` holds reproducible fold numbers, or for a single split a
     number below 100 of which the lower ``train_ratio`` trains; without it Spark
     draws the folds. Grid points that differ in the number of trees only share
-    one fit for each fold, see ``nested``; unless ``parallelism`` is given, as
-    many fits run at once as leave no core idle. Penalties of a linear model are
+    one fit for each fold, see ``nested``, where the first trees are those of a
+    separate fit: boosted trees, and forests without sampling. With
+    ``share_trees`` sampled forests do so, too; their first trees are a forest
+    of that size, but another draw. Unless ``parallelism`` is given, as many of
+    these fits run at once as leave no core idle. Penalties of a linear model are
     scored from sufficient statistics of the folds, see ``moments``. The caller
     persists ``df``.
     """
@@ -104,7 +108,7 @@ def grid_search(
         evaluator=RegressionEvaluator(labelCol="label", metricName="rmse"),
         parallelism=parallelism or preset.parallelism, seed=SEED)
     grid = [{param.name: value for param, value in point.items()} for point in param_maps]
-    size = SIZE.get(preset.family)
+    size = SIZE.get(preset.family) if share_trees or _same_prefix(preset) else None
     if rolling and (not fold_column or preset.train_ratio is not None):
         raise ValueError("rolling folds need a column of periods and a preset with folds")
     periods = _rolling(df, fold_column, preset.folds) if rolling else None
@@ -113,7 +117,7 @@ def grid_search(
         scores = _penalty_search(df, plan, preset, fold_column, periods)
         model = common["estimator"].fit(df, param_maps[scores.index(min(scores))])
         return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
-    if fold_column and (rolling or len(preset.grid.get(size, ())) > 1):
+    if fold_column and (rolling or size and len(preset.grid.get(size, ())) > 1):
         started = time.monotonic()
         at_once = parallelism or max(preset.parallelism, idle_share(df))
         scores = nested_scores(_folds(df, preset, fold_column, periods), plan.stages, estimator, param_maps, size, at_once)
@@ -136,6 +140,13 @@ def grid_search(
     return Search(fitted.bestModel, grid, [float(s) for s in scores], seconds, plan.inputs)
 
 
+def _same_prefix(preset: Preset) -> bool:
+    """Whether the first trees of an ensemble are the smaller ensemble itself."""
+    unsampled = (preset.fixed.get("bootstrap") is False and preset.fixed.get("featureSubsetStrategy") == "all"
+                 and preset.fixed.get("subsamplingRate", 1.0) == 1.0)
+    return preset.family == "gbt" or preset.family == "rf" and unsampled
+
+
 def _rolling(df: DataFrame, column: str, folds: int) -> list[tuple[list, list]]:
     """Periods of the rolling folds; a table has few periods, whatever its rows."""
     return rolling_folds([row[0] for row in df.select(column).distinct().collect()], folds)

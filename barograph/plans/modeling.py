@@ -93,12 +93,14 @@ def run_training(
     features=FEATURES_14, target: str = "temperature", partitions: int | None = None,
     fold_keys=ROW_KEYS, handle_invalid: str = "keep", parallelism: int | None = None,
     prediction_rows: int = 10_000, rolling: tuple[str, str] | None = None,
+    share_trees: bool = True,
 ) -> dict:
     """Grid search on a train table; writes model, metrics, scores and importances.
 
     ``preset_name`` names a preset, or is one. ``rolling``, a time column and a
     calendar unit, scores every one of the last periods by models of those
-    before it, in place of folds over all time.
+    before it, in place of folds over all time. ``share_trees`` scores all
+    forest sizes from one fit a fold.
     """
     preset = PRESETS[preset_name] if isinstance(preset_name, str) else preset_name
     mode = preset_name if isinstance(preset_name, str) else "custom"
@@ -116,7 +118,8 @@ def run_training(
     with persisted(data):
         used, _ = split_empty_columns(data, features)
         plan = feature_plan(used, handle_invalid=handle_invalid)
-        search = grid_search(data, plan, preset, "fold" if folded else None, parallelism, rolling=bool(rolling))
+        search = grid_search(data, plan, preset, "fold" if folded else None, parallelism,
+                             rolling=bool(rolling), share_trees=share_trees)
         scored = materialize(search.model.transform(data).select(*keys, "label", "prediction"))
     metrics = regression_metrics(scored).first()
     row = training_row(search, mode, preset.family, metrics["rows"], metrics, preset.fraction)
