@@ -2,21 +2,33 @@
 
 The byte-level pre-tokenizer never joins a space to the character before it, so
 a text may be cut before every space that follows a non-space; the pieces are
-encoded once and remembered. A piece of one plain word, or of a word and a
-final comma or full stop, goes to the tokenizer's BPE model directly, any other
-piece through the whole tokenizer.
+encoded once and remembered. A piece of letters below U+0250, digits and signs is
+split into pre-tokens here, by the pre-tokenizer's published pattern, and each goes
+to the tokenizer's BPE model; any other piece, and one with the string of an
+added token, goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
+import regex
 
 #: Pieces remembered by one worker, and as many words: about 300 MB when full.
 CACHE_SIZE = 1_200_000
-#: Below this character every letter is a letter in all versions of Unicode in use.
+#: Below this character letters and numbers are the same in all versions of Unicode in use.
 LATIN_END = "\u0250"
+#: Fixed value: the pre-tokenizer's pattern.
+PRE_TOKENS = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Characters on which engines disagree whether they are spaces, and other controls.
+ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\xad]")
+#: White space before a space: what ASCII has of it, and the rest.
+LOOSE_ASCII = tuple(chr(c) + " " for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32))
+LOOSE_OTHER = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -40,46 +52,58 @@ def encoder(path: str, remember: int = CACHE_SIZE) -> "Encoder":
     """This worker's encoder for a vocabulary file, remembering at most so many pieces."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
-    _encoders[path].pieces.most = remember
+    _encoders[path].pieces.most = _encoders[path].pieces.words.most = remember
     return _encoders[path]
 
 
-class _Pieces(dict):
-    """Ids of pieces as little-endian bytes; unknown pieces are encoded on demand."""
+def _has_loose_space(text: str) -> bool:
+    """A space at either end or after other white space."""
+    return (text[0] == " " or text[-1] == " " or any(pair in text for pair in LOOSE_ASCII)
+            or not text.isascii() and LOOSE_OTHER.search(text) is not None)
 
-    def __init__(self, tokenizer, dtype: str) -> None:
-        self.tokenizer, self.model, self.dtype = tokenizer, tokenizer.model, dtype
-        self.words: dict[str, bytes] = {}
-        self.most = CACHE_SIZE
 
-    def __missing__(self, piece: str) -> bytes:
+class _Words(dict):
+    """Ids of pre-tokens as little-endian bytes; unknown ones are encoded on demand."""
+
+    def __init__(self, model, kind: str) -> None:
+        self.model, self.kind, self.most = model, kind, CACHE_SIZE
+
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        body = piece[1:] if piece[:1] == " " else piece
-        if not body or max(body) >= LATIN_END:
-            found = self.whole(piece)
-        elif body.isalpha():
-            found = self.word(piece)
-        elif body[-1] in ",." and body[:-1].isalpha():
-            found = self.word(piece[:-1]) + self.word(body[-1])
+        if word.isascii() and word.isalpha():
+            written = word
+        elif word.isascii() and word[0] == " " and word[1:].isalpha():
+            written = "\u0120" + word[1:]
         else:
-            found = self.whole(piece)
-        self[piece] = found
+            written = word.encode().decode("latin-1").translate(BYTE_ALPHABET)
+        found = self[word] = array(self.kind, [t.id for t in self.model.tokenize(written)]).tobytes()
         return found
 
-    def word(self, word: str) -> bytes:
-        """Ids of one pre-token, written in the byte alphabet of the vocabulary."""
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= self.most:
-                self.words.clear()
-            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_ALPHABET))
-            found = self.words[word] = np.array([t.id for t in tokens], self.dtype).tobytes()
+
+class _Pieces(dict):
+    """Ids of pieces by what follows their first space; unknown pieces are encoded on demand."""
+
+    def __init__(self, tokenizer, kind: str) -> None:
+        self.tokenizer, self.kind, self.words = tokenizer, kind, _Words(tokenizer.model, kind)
+        self.added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        self.most = CACHE_SIZE
+
+    def __missing__(self, rest: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        found = self[rest] = self.of(" " + rest)
         return found
 
+    def of(self, piece: str) -> bytes:
+        if piece.isalpha() if piece[:1] != " " else piece[1:].isalpha():
+            return self.words[piece] if piece.isascii() or max(piece) < LATIN_END else self.whole(piece)
+        if (not piece.isascii() and max(piece) >= LATIN_END) or ODD.search(piece) or any(a in piece for a in self.added):
+            return self.whole(piece)
+        return b"".join(map(self.words.__getitem__, PRE_TOKENS.findall(piece)))
+
     def whole(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids,
-                        self.dtype).tobytes()
+        return array(self.kind, self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
 
 
 class Encoder:
@@ -88,24 +112,28 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.pieces = _Pieces(tokenizer, self.dtype)
+        small = tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype = "<u2" if small else "<u4"
+        self.pieces = _Pieces(tokenizer, "H" if small else "I")
+        #: Added tokens that reach over spaces: texts with one are not cut.
+        self.wide = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.lstrip or t.rstrip or " " in t.content]
 
     def encode(self, text: str | None) -> np.ndarray:
-        """Ids of ``text``; null and empty texts have none."""
+        """Ids of ``text``, as of the library's ``encode`` without special tokens; null and empty texts have none."""
         if not text:
             return np.zeros(0, self.dtype)
+        if self.wide and any(content in text for content in self.wide):
+            return np.frombuffer(self.pieces.whole(text), self.dtype)
         parts = text.split(" ")
-        if "" in parts or any(map(str.isspace, {part[-1] for part in parts})):
+        if _has_loose_space(text):
             parts = self._rejoined(parts)
-        else:
-            parts = [parts[0], *[" " + part for part in parts[1:]]]
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, parts)), self.dtype)
+        parts[0] = self.pieces.of(parts[0])
+        parts[1:] = map(self.pieces.__getitem__, parts[1:])
+        return np.frombuffer(b"".join(parts), self.dtype)
 
     @staticmethod
     def _rejoined(parts: list[str]) -> list[str]:
-        """Pieces that end in white space are joined to the next one."""
+        """Pieces that end in white space are joined to the next one; all but the first without their first space."""
         out, open_piece = [], parts[0]
         for part in parts[1:]:
             if open_piece and not open_piece[-1].isspace():
@@ -114,4 +142,4 @@ class Encoder:
             else:
                 open_piece += " " + part
         out.append(open_piece)
-        return out
+        return [out[0], *[piece[1:] for piece in out[1:]]]

@@ -11,7 +11,6 @@ from barograph.llm.token_ids import default_vocabulary, encoder
 from tests.llm.fixtures import awkward, empty, prose
 
 TOKENIZER = Tokenizer.from_file(default_vocabulary())
-TOKENIZER.encode_special_tokens = True
 PIECES = st.sampled_from(["word", " ", "  ", "\n", ",", ".", "it's", "Été", "ß", "日本", "12", "\t", "\x1c", " ", "!", "İ",
                           "ª", "_", "'ll", "<|endoftext|>"])
 
@@ -108,3 +107,20 @@ def test_bounded_open_bins_close_the_fullest():
     assert bins.place(3) == (0, 6) and bins.place(5) == (2, 5) and bins.place(1) == (0, 9)
     assert packing.piece_bounds(10, 4) == [0, 2, 6, 10] and packing.piece_bounds(8, 4) == [0, 4, 8]
     assert packing.piece_bounds(3, 4) == [0, 3]
+
+
+def test_repeated_rows_without_ids_are_dealt_over_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame([(None, "the same text")] * 3_000, "doc_id bigint, text string")
+        found = packing.pack_documents(df, default_vocabulary())
+        tasks = found.selectExpr("sequence_id >> 36 AS task").groupBy("task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 1_500
+
+
+def test_strings_of_added_tokens_are_their_ids():
+    for text in ("hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b  <|endoftext|>", "<|endoftext"):
+        assert encoder(default_vocabulary()).encode(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert encoder(default_vocabulary()).encode("<|endoftext|>").tolist() == [50256]
