@@ -95,12 +95,14 @@ def pack_documents(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, open_
     ``remember`` bounds the pieces of text whose ids a worker keeps, which costs memory and saves time.
 
     Null and empty texts are the end id alone. Repeated rows are packed as often
-    as they occur. Pieces are dealt out by a hash of id and number, so no source
-    or group of copies is one task. An empty table gives an empty result.
+    as they occur. Pieces are dealt out by a hash of id, number and row, so no
+    source, null id or group of copies is one task. Texts of any length are cut
+    whole, other columns are ignored, and an empty table gives an empty result.
     """
     schema = PLACED.format(id=docs.schema["doc_id"].dataType.simpleString())
     pieces = document_pieces(docs, vocabulary, size, keep_ids, remember)
-    dealt = (pieces.withColumn("key", F.xxhash64("doc_id", "piece")).repartition("key")
+    row = F.monotonically_increasing_id()
+    dealt = (pieces.withColumn("key", F.xxhash64("doc_id", "piece", "ids_crc32", row)).repartition("key")
              .sortWithinPartitions("key", "doc_id", "piece", "ids_crc32").drop("key"))
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
