@@ -286,6 +286,7 @@ def digests(chunks: DataFrame, template: Template = CHATML) -> DataFrame:
     conversations a range and the long ones, are shuffled, and each is read as a
     stream in order, as a hash has to be.
     """
+    ship_package(chunks.sparkSession)
     kind = dict(chunks.dtypes)["conv_id"]
     names, types = _arrow(DIGESTS.format(id=kind))
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.llm import textbytes as tb
-from barograph.llm.common import id_and_text, load, query, slices, stored
+from barograph.llm.common import id_and_text, load, query, ship_package, slices, stored
 from barograph.llm.ordered import range_bounds, range_of
 
 K = 10
@@ -85,10 +85,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The next document follows in descending ``doc_id``, rows with equal ids in
     the order of their texts, null ids last; after the last comes the first. A
-    null text is empty and has the empty fingerprint. A table of one row is its
-    own next document; an empty table gives an empty result.
+    null text is empty and has the empty fingerprint; texts of any length are
+    fingerprinted whole. Other columns are ignored, whatever their names. A
+    table of one row is its own next document; an empty table gives an empty
+    result.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     lowest = F.lit(-(1 << 63)).cast("bigint")
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                         F.coalesce(F.col("doc_id").cast("bigint"), lowest).alias("key"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barograph.llm.common import id_and_text, load, query, slices
+from barograph.llm.common import id_and_text, load, query, ship_package, slices
 from barograph.llm.ordered import range_bounds, range_of
 from barograph.llm.token_ids import default_vocabulary, encoder
 from barograph.session import scratch_path
@@ -135,8 +135,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str) -> None:
     """Encode all texts, each followed by the end id, into files in ascending ``doc_id`` order.
 
     A null or empty text has the end id alone. Rows with equal ids stay, in the
-    order of their texts; null ids come first. An empty table writes no segment.
+    order of their texts; null ids come first. A text of any length is encoded
+    whole, other columns are ignored, and an empty table writes no segment.
     """
+    ship_package(docs.sparkSession)
     bounds = range_bounds(docs)
     ordered = (docs.select(F.col("doc_id").cast("bigint"), "text", range_of(F.col("doc_id"), bounds).alias("range"))
                .repartitionById(len(bounds) + 1, F.col("range"))
@@ -177,6 +179,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str) -> None:
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document in the files."""
+    ship_package(spark)
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
     totals = (files.select("range", F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, n: a + n).alias("n"))
               .groupBy("range").agg(F.sum("n").alias("n")))
