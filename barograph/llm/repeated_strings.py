@@ -403,19 +403,45 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     return covered.groupBy("doc_id").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, own_id``: rows under numbers in the order of their ids, where ids are not numbers of their own.
+
+    Where ids are unique and not null they are the numbers. Else pairs of id and
+    text are numbered by id, null ids last, and MD5 of the text; rows equal in
+    both share a number. Numbers come from narrow rows sorted over ranges, and
+    the texts are shuffled once and written under them.
+    """
+    own = docs.select("doc_id", "text", F.col("doc_id").alias("own_id"))
+    unsure = docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1")
+    if unsure.isEmpty():
+        return own
+    digest = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    order = [F.col("own_id").asc_nulls_last(), F.col("digest")]
+    pairs = docs.select(F.col("doc_id").alias("own_id"), digest.alias("digest")).distinct()
+    numbers = stored(pairs.repartitionByRange(*order).sortWithinPartitions(*order)
+                     .withColumn("doc_id", F.monotonically_increasing_id()), "row-numbers")
+    named = numbers.select(F.col("own_id").alias("_id"), F.col("digest").alias("_digest"), "doc_id")
+    rows = own.drop("doc_id").withColumn("digest", digest)
+    return stored(rows.join(named, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
+                  .select("doc_id", "text", "own_id"), "numbered-rows")
+
+
 def remove_repeated(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES,
                     hot_runs: int = HOT_RUNS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row.
 
     ``kept`` holds the remaining bytes. Texts shorter than ``length`` bytes, null
-    and empty ones lose nothing. A row with a null id neither loses bytes nor
-    takes them from others. Rows repeated with the same id are the same
-    document and keep what they have in common.
+    and empty ones lose nothing; texts of any length are judged whole. Rows with
+    a null id come after all others. Rows with equal ids and different texts are
+    documents of their own, in the order of their texts' MD5; rows equal in both
+    are the same document and keep what they have in common. Other columns are
+    ignored, whatever their names, and an empty table gives no rows.
     """
-    spans = repeated_spans(docs, length, shard_bytes, hot_runs)
     id_type = docs.schema["doc_id"].dataType
-    rows = docs.join(spans.withColumn("doc_id", F.col("doc_id").cast(id_type)), "doc_id", "left").select(
-        "doc_id", "text", "spans")
+    docs = _numbered(docs.select("doc_id", "text"))
+    spans = repeated_spans(docs, length, shard_bytes, hot_runs)
+    rows = docs.join(spans.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "doc_id", "left").select(
+        F.col("own_id").alias("doc_id"), "text", "spans")
 
     def cut(batch):
         out: dict[str, list] = {name: [] for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}

@@ -52,10 +52,24 @@ def test_awkward_rows(spark):
     found = rs.remove_repeated(id_and_text(df)).collect()
     assert len(found) == 14
     removed = {(r.doc_id, r.n_removed) for r in found if r.n_removed}
-    assert removed == {(21, len(text))}
+    assert removed == {(21, len(text)), (None, len(text))}  # the row without an id is the last
     assert rs.remove_repeated(id_and_text(empty(spark))).count() == 0
 
 
+def test_rows_with_equal_and_null_ids_are_judged_one_by_one(spark):
+    passage, own = prose(1, 50), prose(2, 60)
+    rows = [(0, passage), (1, passage + " tail"), (1, own), (1, own), (2, own + passage), (None, passage), (None, prose(3, 60)),
+            (None, prose(3, 60)), (None, None), (3, "")]
+    found = rs.remove_repeated(id_and_text(awkward(spark, rows))).collect()
+    order = lambda r: (r.doc_id is None, r.doc_id or 0, hashlib.md5((r.text or "").encode()).hexdigest() if r.text is not None else "")
+    table = awkward(spark, rows).select("doc_id", "text").collect()
+    numbers = {key: k for k, key in enumerate(sorted({order(r) for r in table}))}
+    wanted = brute({(numbers[order(r)], r.text) for r in table if r.doc_id != 7})
+    mine = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found if r.doc_id != 7)
+    assert mine == sorted((str(r.doc_id), *wanted[numbers[order(r)]]) for r in table if r.doc_id != 7)
+    assert sum(r.n_removed == 0 for r in found if r.doc_id == 1) >= 2
+
+
 def test_suffix_array_and_common_prefixes():
     import numpy as np
     text = (b"banana bandana " * 30 + b"banana" * 40)
