@@ -139,10 +139,12 @@ def sorted_runs(runs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFrame:
 
 
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffixes in the order of their first ``depth`` bytes, ranks, and ranks by 64 bytes.
+    """Suffixes in the order of their first ``depth`` bytes, ranks, and ranks by the last power of two up to it.
 
     Starts from eight-byte keys; each round doubles the compared length and
-    sorts only the groups that are not yet settled.
+    sorts only the groups that are not yet settled. Equal ranks mean equal
+    bytes for suffixes that long; of the shorter ones those that end in zero
+    bytes may be out of order.
     """
     n = len(text)
     padded = np.zeros(n + 8, np.uint64)
@@ -156,10 +158,10 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray,
     head[1:] = keys[1:] != keys[:-1]
     rank = np.zeros(n + 1, np.int64)  # the end of the text ranks below all
     rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0)) + 1
-    reach, at_64 = 8, None
+    reach, at_power = 8, None
     while reach < depth:
-        if reach == 64:
-            at_64 = rank[:n].copy()
+        if reach * 2 > depth:
+            at_power = rank[:n].copy()
         ranks = rank[order]
         single = np.ones(n, bool)
         single[:-1] &= ranks[:-1] != ranks[1:]
@@ -175,7 +177,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray,
             head[1:] = pair[1:] != pair[:-1]
             rank[suffix] = open_at[np.maximum.accumulate(np.where(head, np.arange(len(pair)), 0))] + 1
         reach *= 2
-    return order, rank[:n], rank[:n].copy() if at_64 is None else at_64
+    return order, rank[:n], rank[:n].copy() if at_power is None else at_power
 
 
 def common_prefixes(text: bytes, order: np.ndarray, near: np.ndarray, known: int, depth: int) -> np.ndarray:
@@ -183,7 +185,9 @@ def common_prefixes(text: bytes, order: np.ndarray, near: np.ndarray, known: int
 
     ``near`` marks places in the order whose suffix shares ``known`` bytes with
     the one before; the others count as 0. Going through the text, a suffix
-    loses at most one byte of what the suffix before it had in common.
+    loses at most one byte of what the suffix before it had in common; as the
+    order is settled for a bounded depth only, its neighbour may have less, so
+    what is carried over is compared.
     """
     lcp = np.zeros(len(order), np.int64)
     at = np.flatnonzero(near)
@@ -193,6 +197,8 @@ def common_prefixes(text: bytes, order: np.ndarray, near: np.ndarray, known: int
     n = len(text)
     for i, j in zip(order[at].tolist(), order[at - 1].tolist()):
         h = max(h - 1, known) if i == last + 1 else known
+        if h > known and text[i + known:i + h] != text[j + known:j + h]:
+            h = known
         end = min(depth, n - i, n - j)
         if h < end and text[i + h:i + end] == text[j + h:j + end]:
             h = max(h, end)
@@ -215,19 +221,17 @@ def repeated_starts(contexts: list[bytes], length: int, seen: np.ndarray | None
     sizes = np.array([len(c) for c in contexts], np.int64)
     text = b"".join(contexts)
     data = np.frombuffer(text, np.uint8)
-    order, rank, at_64 = suffix_array(data, length)
-    near = np.zeros(len(order), bool)
-    near[1:] = at_64[order[1:]] == at_64[order[:-1]]
-    lcp = common_prefixes(text, order, near, min(64, length), length)
     ends = np.cumsum(sizes)
     begins = ends - sizes
     owner = np.repeat(np.arange(len(sizes)), sizes)
     is_start = np.arange(len(data)) + length <= ends[owner]
-    group = np.cumsum(lcp < length)
-    starts_in_order = is_start[order]
-    suffix, group = order[starts_in_order], group[starts_in_order]
-    by = np.lexsort((suffix, group))
-    suffix, group = suffix[by], group[by]
+    order, _, at_power = suffix_array(data, length)
+    order = order[is_start[order]]
+    near = np.zeros(len(order), bool)
+    near[1:] = at_power[order[1:]] == at_power[order[:-1]]
+    group = np.cumsum(common_prefixes(text, order, near, 1 << (length.bit_length() - 1), length) < length)
+    by = np.lexsort((order, group))
+    suffix, group = order[by], group[by]
     first = np.ones(len(suffix), bool)
     first[1:] = group[1:] != group[:-1]
     again = np.zeros(len(data), bool)

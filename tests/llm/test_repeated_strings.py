@@ -103,3 +103,46 @@ def test_no_anchor_brings_more_runs_than_the_bound_to_one_comparison(spark):
     assert runs.where("NOT again AND hot").count() > 300 and (met.agg({"count": "max"}).first()[0] or 0) <= 50
     strings = rs.hashed_runs(runs, df, 100, 1 << 20)
     assert strings.count() > 0 and strings.where("doc_id = 10").count() == 0
+
+
+def contexts_with_edits(seed, letters):
+    rng = random.Random(seed)
+    bases = [bytes(rng.choice(letters) for _ in range(300)) for _ in range(3)]
+    out = []
+    for _ in range(20):
+        start = rng.randrange(0, 200)
+        context = bytearray(rng.choice(bases)[start:start + rng.randrange(100, 177)])
+        for _ in range(rng.randrange(0, 3)):
+            context[rng.randrange(len(context))] = rng.choice(letters)
+        out.append(bytes(context) if len(context) >= 100 else bytes(context).ljust(100, letters[-1:]))
+    return out
+
+
+@pytest.mark.parametrize("letters, length", [(b"ab", 100), (b"\0a", 100), (bytes(range(97, 123)), 100), (b"ab", 50), (b"a b", 64)])
+def test_repeated_starts_of_texts_that_nearly_repeat(letters, length):
+    """Neighbours that share more than the sorted depth, zero bytes at the end, strings shorter than 64 bytes."""
+    for seed in range(150):
+        contexts, seen, wanted = contexts_with_edits(seed, letters), set(), []
+        for context in contexts:
+            strings = [context[s:s + length] for s in range(len(context) - length + 1)]
+            wanted.append([])
+            for s, string in enumerate(strings):
+                if string in seen:
+                    wanted[-1].append(s)
+                seen.add(string)
+        assert [found.tolist() for found in rs.repeated_starts(contexts, length)[0]] == wanted
+
+
+def test_licence_texts_of_few_words_equal_brute_force(spark):
+    rng = random.Random(2)
+    words = ["the", "licence", "is", "granted", "copy", "of"]
+    bases = [" ".join(rng.choice(words) for _ in range(80)) for _ in range(4)]
+    docs = []
+    for k in range(300):
+        text = list("".join(b[rng.randrange(0, 200):] for b in rng.sample(bases, 2)))
+        for _ in range(rng.randrange(0, 5)):
+            text[rng.randrange(len(text))] = rng.choice("teicof ")
+        docs.append((k * 3 - 20, "".join(text)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    found = rs.remove_repeated(df).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == brute(docs)
