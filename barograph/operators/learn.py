@@ -14,6 +14,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barograph.operators.cells import cell_search, has_few_cells, weighs_rows
 from barograph.operators.features import FeaturePlan, SharedPrepPipeline
 from barograph.operators.moments import linear_moments, penalty_scores
 from barograph.operators.nested import SIZE, idle_share, nested_scores
@@ -93,7 +94,9 @@ def grid_search(
     separate fit: boosted trees, and forests without sampling. With
     ``share_trees`` sampled forests do so, too; their first trees are a forest
     of that size, but another draw. Unless ``parallelism`` is given, as many of
-    these fits run at once as leave no core idle. Penalties of a linear model are
+    these fits run at once as leave no core idle. Trees over few different
+    choices of features are fitted on these instead of the rows, see ``cells``;
+    the draws of a sampled forest are other ones there, too. Penalties of a linear model are
     scored from sufficient statistics of the folds, see ``moments``. The caller
     persists ``df``.
     """
@@ -117,6 +120,12 @@ def grid_search(
         scores = _penalty_search(df, plan, preset, fold_column, periods)
         model = common["estimator"].fit(df, param_maps[scores.index(min(scores))])
         return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
+    if fold_column and plan.numeric and weighs_rows(estimator, param_maps) and has_few_cells(df, list(plan.numeric)):
+        started = time.monotonic()
+        part, folds = _parts(preset, fold_column, periods)
+        at_once = parallelism or max(preset.parallelism, df.sparkSession.sparkContext.defaultParallelism)
+        model, scores = cell_search(df, plan, estimator, param_maps, part, folds, size, at_once)
+        return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
     if fold_column and (rolling or size and len(preset.grid.get(size, ())) > 1):
         started = time.monotonic()
         at_once = parallelism or max(preset.parallelism, idle_share(df))
@@ -154,18 +163,20 @@ def _rolling(df: DataFrame, column: str, folds: int) -> list[tuple[list, list]]:
 
 def _penalty_search(df: DataFrame, plan: FeaturePlan, preset: Preset, column: str, periods: list | None) -> list[float]:
     """Mean RMSE over the folds, or on the rows above the split, of every penalty."""
-    if periods is not None:
-        part, folds = F.col(column), periods
-    elif preset.train_ratio is not None:
-        part = F.when(F.col(column) < round(preset.train_ratio * BUCKETS), 0).otherwise(1)
-        folds = [([0], [1])]
-    else:
-        part = F.col(column)
-        folds = [([p for p in range(preset.folds) if p != k], [k]) for k in range(preset.folds)]
+    part, folds = _parts(preset, column, periods)
     found = linear_moments(df.withColumn("_part", part), list(plan.numeric), by="_part", impute=plan.imputed)
     return penalty_scores(found, preset.grid["regParam"], folds)
 
 
+def _parts(preset: Preset, column: str, periods: list | None):
+    """The part of a row, and for every fold the parts that train and those held out."""
+    if periods is not None:
+        return F.col(column), periods
+    if preset.train_ratio is not None:
+        return F.when(F.col(column) < round(preset.train_ratio * BUCKETS), 0).otherwise(1), [([0], [1])]
+    return F.col(column), [([p for p in range(preset.folds) if p != k], [k]) for k in range(preset.folds)]
+
+
 def _folds(df: DataFrame, preset: Preset, column: str, periods: list | None) -> list[tuple[DataFrame, DataFrame]]:
     """Training and held-out rows of every fold, or of the single split."""
     if periods is not None:

@@ -15,7 +15,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The parameter that counts the trees, by family.
@@ -34,23 +34,31 @@ def groups(grid: list[dict], size: str | None) -> list[dict[int, int]]:
     return list(found.values())
 
 
-def prefix_scores(model, rows: DataFrame, sizes: list[int]) -> list[float]:
+def prefix_scores(model, rows: DataFrame, sizes: list[int], weighted: bool = False) -> list[float]:
     """RMSE of the first trees of ``model`` on ``rows`` (features, label), for every size, in one pass.
 
-    The size None stands for the whole model, of any kind.
+    The size None stands for the whole model, of any kind. With ``weighted``,
+    ``rows`` are cells of several rows each, see ``cells``.
     """
+    def rmse(prediction: Column) -> Column:
+        error = F.pow(F.col("label") - prediction, 2)
+        if weighted:
+            return F.sqrt(F.sum(F.col("weight") * error + F.col("deviation")) / F.sum("weight"))
+        return F.sqrt(F.avg(error))
+
     if sizes == [None]:
-        error = F.col("label") - F.col("prediction")
-        return [float(model.transform(rows).agg(F.sqrt(F.avg(error * error))).first()[0])]
-    if hasattr(model, "evaluateEachIteration"):
+        return [float(model.transform(rows).agg(rmse(F.col("prediction"))).first()[0])]
+    boosted = hasattr(model, "evaluateEachIteration")
+    if boosted and not weighted:
         errors = model.evaluateEachIteration(rows, "squared")
         return [math.sqrt(errors[size - 1]) for size in sizes]
-    scored, total, measures = rows.select("label", model.getFeaturesCol()), F.lit(0.0), {}
-    for number, tree in enumerate(model.trees[:max(sizes)], 1):
+    kept = ("weight", "deviation") if weighted else ()
+    scored, total, measures = rows.select("label", model.getFeaturesCol(), *kept), F.lit(0.0), {}
+    for number, (tree, share) in enumerate(zip(model.trees[:max(sizes)], model.treeWeights), 1):
         scored = tree.setPredictionCol(f"tree_{number}").transform(scored)
-        total = total + F.col(f"tree_{number}")
+        total = total + share * F.col(f"tree_{number}")
         if number in sizes:
-            measures[number] = F.sqrt(F.avg(F.pow(F.col("label") - total / number, 2)))
+            measures[number] = rmse(total if boosted else total / number)
     found = scored.agg(*[measures[size] for size in sizes]).first()
     return [float(value) for value in found]
 
