@@ -105,3 +105,13 @@ def test_cells_of_missing_labels_have_none(spark):
     rows = spark.createDataFrame([(1.0, 2.0), (1.0, None), (None, 3.0), (None, 5.0)], "a double, label double")
     found = {r["a"]: (r["label"], r["weight"]) for r in cells_of.feature_cells(rows, ["a"]).collect()}
     assert found == {1.0: (None, 2.0), None: (4.0, 2.0)}
+
+
+def test_single_split_of_boosted_trees_on_cells(data, monkeypatch):
+    split = with_fold(data.drop("fold"), ["k"], 100).cache()
+    train, held = split.where("fold < 80"), split.where("fold >= 80")
+    wanted = [rmse(Pipeline(stages=[*feature_plan(FEATURES).stages, boosted(maxIter=5, maxDepth=d)]).fit(train), held) for d in (2, 3)]
+    seen = fitted_rows(monkeypatch)
+    preset = Preset("gbt", {"maxIter": [5], "maxDepth": [2, 3]}, train_ratio=0.8)
+    search = grid_search(split, feature_plan(FEATURES), preset, "fold")
+    assert search.scores == pytest.approx(wanted, rel=1e-9) and len(seen) == 3 and max(seen) <= 2 * 13 * 7
