@@ -115,3 +115,19 @@ def test_single_split_of_boosted_trees_on_cells(data, monkeypatch):
     preset = Preset("gbt", {"maxIter": [5], "maxDepth": [2, 3]}, train_ratio=0.8)
     search = grid_search(split, feature_plan(FEATURES), preset, "fold")
     assert search.scores == pytest.approx(wanted, rel=1e-9) and len(seen) == 3 and max(seen) <= 2 * 13 * 7
+
+
+@pytest.mark.parametrize("estimator", [lambda: boosted(maxIter=2, stepSize=0.1, maxDepth=1, maxBins=64),
+                                       lambda: forest(numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxDepth=1, maxBins=64)])
+def test_stumps_of_prices_are_fitted_on_one_row_a_quantity(spark, monkeypatch, estimator):
+    from workload import models
+    rows = spark.range(6000).selectExpr("double(id % 50 + 1) AS l_quantity", "double(0) AS nothing",
+                                        "(id % 50) * (1 + id % 7) / 3.0 AS label").repartition(3).cache()
+    plan = feature_plan(["l_quantity", "nothing"], impute=(), handle_invalid="error")
+    whole = Pipeline(stages=[*plan.stages, estimator()]).fit(rows)
+    seen = fitted_rows(monkeypatch)
+    _, model = models._fit_prices(rows, estimator())
+    assert seen == [50]
+    first, second = (m.transform(rows).groupBy("l_quantity").agg(F.max("prediction").alias("p")).orderBy("l_quantity").collect()
+                     for m in (whole, model))
+    assert [r["p"] for r in first] == pytest.approx([r["p"] for r in second], rel=1e-9)

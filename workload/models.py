@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.operators.aggregate import cv_summary, regression_metrics, top_k
+from barograph.operators.cells import feature_cells
 from barograph.operators.compare import best_model
 from barograph.operators.decode import columns_with_prefix
 from barograph.operators.derive import (
@@ -61,8 +62,10 @@ def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit_prices(rows: DataFrame, estimator):
+    """Trees over the cells of the rows, which are no more than there are quantities."""
     plan = feature_plan(["l_quantity", "nothing"], impute=(), handle_invalid="error")
-    return plan, Pipeline(stages=[*plan.stages, estimator]).fit(rows)
+    cells = feature_cells(rows, list(plan.numeric))
+    return plan, Pipeline(stages=[*plan.stages, estimator.setWeightCol("weight")]).fit(cells)
 
 
 def _one_tree():
