@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from barograph.operators.cells import cell_search, has_few_cells, weighs_rows
 from barograph.operators.features import FeaturePlan, SharedPrepPipeline
 from barograph.operators.moments import linear_moments, penalty_scores
-from barograph.operators.nested import SIZE, idle_share, nested_scores
+from barograph.operators.nested import SIZE, idle_share, nested_scores, shares_depth
 from barograph.operators.presets import Preset
 from barograph.operators.split import BUCKETS, rolling_folds
 
@@ -93,7 +93,8 @@ def grid_search(
     one fit for each fold, see ``nested``, where the first trees are those of a
     separate fit: boosted trees, and forests without sampling. With
     ``share_trees`` sampled forests do so, too; their first trees are a forest
-    of that size, but another draw. Unless ``parallelism`` is given, as many of
+    of that size, but another draw. Forests that differ in depth only share the
+    deepest fit, cut off, where this is the shallower fit itself. Unless ``parallelism`` is given, as many of
     these fits run at once as leave no core idle. Trees over few different
     choices of features are fitted on these instead of the rows, see ``cells``;
     the draws of a sampled forest are other ones there, too. Penalties of a linear model are
@@ -126,10 +127,12 @@ def grid_search(
         at_once = parallelism or max(preset.parallelism, df.sparkSession.sparkContext.defaultParallelism)
         model, scores = cell_search(df, plan, estimator, param_maps, part, folds, size, at_once)
         return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
-    if fold_column and (rolling or size and len(preset.grid.get(size, ())) > 1):
+    cut = "maxDepth" in preset.grid and plan.numeric and shares_depth(estimator, param_maps, len(plan.inputs))
+    if fold_column and (rolling or cut or size and len(preset.grid.get(size, ())) > 1):
         started = time.monotonic()
         at_once = parallelism or max(preset.parallelism, idle_share(df))
-        scores = nested_scores(_folds(df, preset, fold_column, periods), plan.stages, estimator, param_maps, size, at_once)
+        scores = nested_scores(
+            _folds(df, preset, fold_column, periods), plan.stages, estimator, param_maps, size, at_once, bool(cut))
         model = common["estimator"].fit(df, param_maps[scores.index(min(scores))])
         return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
     if preset.train_ratio is not None and fold_column:

@@ -15,6 +15,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,49 @@ def groups(grid: list[dict], size: str | None) -> list[dict[int, int]]:
     return list(found.values())
 
 
+def shares_depth(estimator, param_maps: list[dict], features: int) -> bool:
+    """Whether forests that differ in ``maxDepth`` only are the deepest of them, cut off.
+
+    Trees grow by level, so up to a depth the deeper fit takes the same steps, as
+    long as the features drawn for a node do not hang on it: where all nodes of a
+    level are handled together, or every node sees all features. A node holds
+    some 32 bytes for each feature and bin.
+    """
+    if not estimator.hasParam("bootstrap"):
+        return False
+    points = [estimator.copy(params) for params in param_maps]
+    deepest = max(one.getMaxDepth() for one in points)
+    cut = [one.getMaxDepth() for one in points if one.getMaxDepth() < deepest]
+    if not cut or max(cut) > 8:  # what is cut is scored by an expression of 2 ** depth leaves
+        return False
+    return all(one.getFeatureSubsetStrategy() == "all" or one.getNumTrees() * 2 ** max(cut) * features * one.getMaxBins() * 32
+               < one.getMaxMemoryInMB() << 20 for one in points)
+
+
+def cut_prediction(node, depth: int, features: Column) -> Column:
+    """Prediction of a tree cut off ``depth`` levels below ``node``, over an array of features (numbers only)."""
+    if depth == 0 or node.getClass().getSimpleName() == "LeafNode":
+        return F.lit(node.prediction())
+    split = node.split()
+    return F.when(F.get(features, F.lit(split.featureIndex())) <= split.threshold(),
+                  cut_prediction(node.leftChild(), depth - 1, features)).otherwise(
+        cut_prediction(node.rightChild(), depth - 1, features))
+
+
+def cut_scores(model, rows: DataFrame, sizes: list[int], depth: int) -> list[float]:
+    """RMSE of the first trees of a forest, cut off at ``depth``; None stands for all trees."""
+    counts = [len(model.trees) if size is None else size for size in sizes]
+    values = rows.select("label", vector_to_array(model.getFeaturesCol()).alias("values"))
+    trees = values.select("label", *[
+        cut_prediction(tree._java_obj.rootNode(), depth, F.col("values")).alias(f"tree_{number}")
+        for number, tree in enumerate(model.trees[:max(counts)], 1)])
+    measures = []
+    for count in counts:
+        total = sum((F.col(f"tree_{number}") for number in range(2, count + 1)), F.col("tree_1"))
+        measures.append(F.sqrt(F.avg(F.pow(F.col("label") - total / count, 2))))
+    return [float(value) for value in trees.agg(*measures).first()]
+
+
 def prefix_scores(model, rows: DataFrame, sizes: list[int], weighted: bool = False) -> list[float]:
     """RMSE of the first trees of ``model`` on ``rows`` (features, label), for every size, in one pass.
 
@@ -91,27 +135,45 @@ def idle_share(df: DataFrame) -> int:
     return max(1, df.sparkSession.sparkContext.defaultParallelism // max(1, df.rdd.getNumPartitions()))
 
 
+def _by_depth(grid: list[dict], found: list[dict]) -> list[dict]:
+    """Groups that differ in depth only as one, whose points are found by size and depth."""
+    joined: dict[tuple, dict] = {}
+    for group in found:
+        point = grid[next(iter(group.values()))]
+        rest = tuple(sorted((name, repr(value)) for name, value in point.items() if name != "maxDepth" and (
+            len({grid[n].get(name) for n in group.values()}) == 1)))
+        joined.setdefault(rest, {}).update({(size, point["maxDepth"]): number for (size, _), number in group.items()})
+    return list(joined.values())
+
+
 def nested_scores(
-    folds: list[tuple[DataFrame, DataFrame]], stages: list, estimator, param_maps: list[dict], size: str, parallelism: int,
+    folds: list[tuple[DataFrame, DataFrame]], stages: list, estimator, param_maps: list[dict], size: str | None,
+    parallelism: int, share_depth: bool = False,
 ) -> list[float]:
     """Mean RMSE over ``folds`` (train, held out) of every grid point.
 
     ``stages`` prepare the features and are fitted once a fold. Folds are gone
-    through in order, so few of them are prepared at a time.
+    through in order, so few of them are prepared at a time. With
+    ``share_depth`` the deepest forests are fitted only, see ``shares_depth``.
     """
     grid = [{param.name: value for param, value in point.items()} for point in param_maps]
-    found = groups(grid, size)
+    found = [{(size, None): number for size, number in group.items()} for group in groups(grid, size)]
+    if share_depth:
+        found = _by_depth(grid, found)
     scores = [[0.0] * len(folds) for _ in grid]
     opened = [_Fold(train, held, stages, len(found)) for train, held in folds]
 
-    def search(task: tuple[int, dict[int, int]]) -> None:
+    def search(task: tuple[int, dict]) -> None:
         number, group = task
         try:
             train, held = opened[number].open()
-            sizes = sorted(group)
-            model = estimator.fit(train, param_maps[group[sizes[-1]]])
-            for one, score in zip(sizes, prefix_scores(model, held, sizes)):
-                scores[group[one]][number] = score
+            depths = sorted({depth for _, depth in group}) if share_depth else [None]
+            sizes = sorted({size for size, _ in group}) if size else [None]
+            model = estimator.fit(train, param_maps[group[sizes[-1], depths[-1]]])
+            for depth in depths:
+                values = (prefix_scores(model, held, sizes) if depth == depths[-1] else cut_scores(model, held, sizes, depth))
+                for one, score in zip(sizes, values):
+                    scores[group[one, depth]][number] = score
         finally:
             opened[number].close()
 

@@ -78,3 +78,22 @@ def test_single_split_over_sizes(data):
     train, held = split.where("fold < 80"), split.where("fold >= 80")
     one = Pipeline(stages=[*plan.stages, forest(numTrees=1, maxDepth=3, bootstrap=False, featureSubsetStrategy="all")]).fit(train)
     assert search.scores == pytest.approx([rmse(one, held)] * 2, rel=1e-9)
+
+
+@pytest.mark.parametrize("share_trees", [False, True])
+def test_forests_that_differ_in_depth_are_the_deepest_cut_off(data, monkeypatch, share_trees):
+    plan = feature_plan(["a", "b", "c"])
+    preset = Preset("rf", {"numTrees": [3, 6], "maxDepth": [2, 4, 7], "minInstancesPerNode": [1]}, folds=2)
+    fits = []
+    original = type(forest())._fit
+    monkeypatch.setattr(type(forest()), "_fit", lambda self, df: fits.append((self.getNumTrees(), self.getMaxDepth())) or original(self, df))
+    search = grid_search(data, plan, preset, "fold", share_trees=share_trees)
+    assert sorted(fits[:-1]) == ([(6, 7)] * 2 if share_trees else [(3, 7)] * 2 + [(6, 7)] * 2)
+    for point, score in zip(search.grid, search.scores):
+        if share_trees and point["numTrees"] == 3:
+            continue  # the first trees of the larger forest, another draw
+        scores = []
+        for k in (0, 1):
+            train, held = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
+            scores.append(rmse(Pipeline(stages=[*plan.stages, forest(numTrees=point["numTrees"], maxDepth=point["maxDepth"])]).fit(train), held))
+        assert score == pytest.approx(sum(scores) / 2, rel=1e-9)
