@@ -4,8 +4,9 @@ A regression tree sees rows with equal features as one: their number, mean label
 and squared deviations give every split the gain, and every leaf the prediction,
 that the rows themselves give. Tables whose features have few different values
 are so reduced to a table of bounded size by one aggregate, and every fit and
-score of a search works on that. The bootstrap of a forest stays one of rows:
-each row is drawn for every tree on its own, and only the draws are summed.
+score of a search works on that, and so do the medians that fill gaps, which the
+cells give exactly. The bootstrap of a forest stays one of rows: each row is
+drawn for every tree on its own, and only the draws are summed.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import RandomForestRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barograph.operators.nested import groups, prefix_scores
@@ -48,6 +49,17 @@ def has_few_cells(df: DataFrame, numeric: list[str], most: int = MOST_CELLS) ->
     return row["cells"] <= min(most, row["rows"] / LEAST_ROWS)
 
 
+def cell_medians(cells: DataFrame, numeric: list[str]) -> dict[str, float | None]:
+    """Lower medians of the rows that weighted ``cells`` stand for, NULL and NaN ignored; none for an empty column."""
+    values = cells.select("weight", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.col(name).cast("double").alias("value")) for name in numeric])))
+    counts = values.where("value IS NOT NULL AND NOT isnan(value)").groupBy("name", "value").agg(F.sum("weight").alias("rows"))
+    below = F.sum("rows").over(Window.partitionBy("name").orderBy("value"))
+    ranked = counts.select("name", "value", below.alias("below"), F.sum("rows").over(Window.partitionBy("name")).alias("all"))
+    found = dict(ranked.where("2 * below >= all").groupBy("name").agg(F.min("value")).collect())
+    return {name: found.get(name) for name in numeric}
+
+
 def weighs_rows(estimator, param_maps: list[dict]) -> bool:
     """Whether every fit of the search takes a weighted row for so many equal ones.
 
@@ -165,20 +177,29 @@ class CellSearch:
                 trees += estimator.copy(params).getNumTrees()
             named = F.broadcast(cells.select("cell", *[F.col(key).alias(f"_{key}") for key in keys]))
             on = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
-            drawn = bootstrap_draws(self.df.join(named, on).select("cell", "label"), count, trees,
+            rows = self.df.join(named, on).select("cell", "label")
+            if self.df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
+                rows = rows.hint("rebalance")  # few files: the draws are to keep all cores busy
+            drawn = bootstrap_draws(rows, count, trees,
                                     estimator.getSubsamplingRate(), estimator.getSeed())
             cells = materialize(drawn.join(F.broadcast(cells), "cell"))
         self.cells = cells
 
     def prepared(self, parts: list | None) -> PipelineModel:
-        """The feature stages, fitted on all rows of ``parts``."""
-        rows = self.df if parts is None else self.df.where(F.col("_part").isin(parts))
-        return Pipeline(stages=self.plan.stages).fit(rows)
+        """The feature stages for all rows of ``parts``: the imputer sees one row, of their medians."""
+        names = list(self.plan.imputed)
+        if not names:
+            return Pipeline(stages=self.plan.stages).fit(self.cells)
+        medians = cell_medians(self.of_parts(parts), names)
+        row = self.df.sparkSession.createDataFrame([tuple(medians.values())], ", ".join(f"`{n}` double" for n in names))
+        return Pipeline(stages=self.plan.stages).fit(row)
+
+    def of_parts(self, parts: list | None) -> DataFrame:
+        return self.cells if parts is None else self.cells.where(F.col("_part").isin(parts))
 
     def of(self, prepared: PipelineModel, parts: list | None) -> DataFrame:
-        rows = self.cells if parts is None else self.cells.where(F.col("_part").isin(parts))
         drawn = ["weights", "means"] if self.first else []
-        return prepared.transform(rows).select("features", "label", "weight", "deviation", *drawn).persist()
+        return prepared.transform(self.of_parts(parts)).select("features", "label", "weight", "deviation", *drawn).persist()
 
     def fit(self, cells: DataFrame, number: int, pool: ThreadPool):
         """The model of grid point ``number``; trees of a bootstrap are fitted one by one, on their own draws."""
@@ -205,7 +226,8 @@ def cell_search(
     """The best model, refitted on all of ``df``, and the mean RMSE over ``folds`` of every grid point.
 
     ``part`` gives the part of a row, ``folds`` the parts that train and those
-    held out. Imputers are fitted on the rows. ``size`` names the parameter
+    held out. ``df`` is read once, for sampled forests twice; gaps are filled with
+    the medians of all rows. ``size`` names the parameter
     whose smaller values are read off the largest fit, see ``nested``.
     """
     search = CellSearch(df, plan, estimator, param_maps, part)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from contextlib import nullcontext
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -20,6 +21,7 @@ from barograph.operators.moments import linear_moments, penalty_scores
 from barograph.operators.nested import SIZE, idle_share, nested_scores, shares_depth
 from barograph.operators.presets import Preset
 from barograph.operators.split import BUCKETS, rolling_folds
+from barograph.session import persisted
 
 SEED = 42
 
@@ -79,7 +81,7 @@ class Search:
 def grid_search(
     df: DataFrame, plan: FeaturePlan, preset: Preset,
     fold_column: str | None = None, parallelism: int | None = None, rolling: bool = False,
-    share_trees: bool = False,
+    share_trees: bool = False, keep: bool = False,
 ) -> Search:
     """Fit every grid point, refit the best on all rows of ``df``.
 
@@ -99,7 +101,8 @@ def grid_search(
     choices of features are fitted on these instead of the rows, see ``cells``;
     the draws of a sampled forest are other ones there, too. Penalties of a linear model are
     scored from sufficient statistics of the folds, see ``moments``. The caller
-    persists ``df``.
+    persists ``df``, or leaves that to ``keep``: rows are then spread over the
+    cores and held only where fits go over rows, not where cells do.
     """
     estimator = FAMILIES[preset.family](**preset.fixed)
     builder = ParamGridBuilder()
@@ -127,29 +130,30 @@ def grid_search(
         at_once = parallelism or max(preset.parallelism, df.sparkSession.sparkContext.defaultParallelism)
         model, scores = cell_search(df, plan, estimator, param_maps, part, folds, size, at_once)
         return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
-    cut = "maxDepth" in preset.grid and plan.numeric and shares_depth(estimator, param_maps, len(plan.inputs))
-    if fold_column and (rolling or cut or size and len(preset.grid.get(size, ())) > 1):
+    with persisted(df.hint("rebalance")) if keep else nullcontext(df) as df:
+        cut = "maxDepth" in preset.grid and plan.numeric and shares_depth(estimator, param_maps, len(plan.inputs))
+        if fold_column and (rolling or cut or size and len(preset.grid.get(size, ())) > 1):
+            started = time.monotonic()
+            at_once = parallelism or max(preset.parallelism, idle_share(df))
+            scores = nested_scores(
+                _folds(df, preset, fold_column, periods), plan.stages, estimator, param_maps, size, at_once, bool(cut))
+            model = common["estimator"].fit(df, param_maps[scores.index(min(scores))])
+            return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
+        if preset.train_ratio is not None and fold_column:
+            started = time.monotonic()
+            model, scores = _single_split(df, common, preset.train_ratio, fold_column)
+            return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
+        if preset.train_ratio is not None:
+            tuner = TrainValidationSplit(trainRatio=preset.train_ratio, **common)
+        else:
+            tuner = CrossValidator(numFolds=preset.folds, **common)
+            if fold_column:
+                tuner.setFoldCol(fold_column)
         started = time.monotonic()
-        at_once = parallelism or max(preset.parallelism, idle_share(df))
-        scores = nested_scores(
-            _folds(df, preset, fold_column, periods), plan.stages, estimator, param_maps, size, at_once, bool(cut))
-        model = common["estimator"].fit(df, param_maps[scores.index(min(scores))])
-        return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
-    if preset.train_ratio is not None and fold_column:
-        started = time.monotonic()
-        model, scores = _single_split(df, common, preset.train_ratio, fold_column)
-        return Search(model, grid, scores, time.monotonic() - started, plan.inputs)
-    if preset.train_ratio is not None:
-        tuner = TrainValidationSplit(trainRatio=preset.train_ratio, **common)
-    else:
-        tuner = CrossValidator(numFolds=preset.folds, **common)
-        if fold_column:
-            tuner.setFoldCol(fold_column)
-    started = time.monotonic()
-    fitted = tuner.fit(df)
-    seconds = time.monotonic() - started
-    scores = fitted.avgMetrics if preset.train_ratio is None else fitted.validationMetrics
-    return Search(fitted.bestModel, grid, [float(s) for s in scores], seconds, plan.inputs)
+        fitted = tuner.fit(df)
+        seconds = time.monotonic() - started
+        scores = fitted.avgMetrics if preset.train_ratio is None else fitted.validationMetrics
+        return Search(fitted.bestModel, grid, [float(s) for s in scores], seconds, plan.inputs)
 
 
 def _same_prefix(preset: Preset) -> bool:

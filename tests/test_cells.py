@@ -131,3 +131,53 @@ def test_stumps_of_prices_are_fitted_on_one_row_a_quantity(spark, monkeypatch, e
     first, second = (m.transform(rows).groupBy("l_quantity").agg(F.max("prediction").alias("p")).orderBy("l_quantity").collect()
                      for m in (whole, model))
     assert [r["p"] for r in first] == pytest.approx([r["p"] for r in second], rel=1e-9)
+
+
+def counted(data):
+    """The rows of ``data`` and a count of how many of them were read, all passes together."""
+    read = data.sparkSession.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return data.mapInArrow(passed, data.schema), read
+
+
+def test_search_on_cells_reads_the_rows_twice_and_keeps_none(data):
+    split = with_fold(data.drop("fold"), ["k"], 100)
+    preset = Preset("gbt", {"maxIter": [5], "maxDepth": [2, 3]}, train_ratio=0.8)
+    wanted = grid_search(split, feature_plan(FEATURES), preset, "fold").scores
+    rows, read = counted(split)
+    search = grid_search(rows, feature_plan(FEATURES), preset, "fold", keep=True)
+    assert read.value == 2 * 4000  # whether there are few cells, and the cells; medians, fits and scores need no row
+    assert search.scores == pytest.approx(wanted, rel=1e-12)
+
+
+def test_rows_of_many_cells_are_kept_for_the_fits_and_released(data, monkeypatch):
+    split = with_fold(data.drop("fold"), ["k"], 100)
+    preset = Preset("gbt", {"maxIter": [2], "maxDepth": [2, 3]}, train_ratio=0.8)
+    wanted = grid_search(split, feature_plan(FEATURES), preset, "fold").scores
+    monkeypatch.setattr(learn, "has_few_cells", lambda *_: False)
+    rows, read = counted(split)
+    search = grid_search(rows, feature_plan(FEATURES), preset, "fold", keep=True)
+    assert read.value == 4000 and search.scores == pytest.approx(wanted, rel=1e-9)
+    assert not rows.hint("rebalance").storageLevel.useMemory
+
+
+def test_medians_of_cells_are_exact(spark):
+    nan = float("nan")
+    few = spark.createDataFrame([(1.0, None), (1.0, None), (2.0, None), (3.0, nan), (None, nan), (nan, None)], "a double, b double")
+    cells = cells_of.feature_cells(few.withColumn("label", F.lit(1.0)), FEATURES)
+    assert cells_of.cell_medians(cells, FEATURES) == {"a": 1.0, "b": None}
+
+
+def test_gaps_are_filled_with_the_exact_median(spark):
+    # One row more of 0 than of 1, in one partition: Spark's sketch gives 1.
+    rows = spark.range(0, 200001, 1, 1).selectExpr(
+        "double(id % 2) AS a", "double(id % 3) AS b", "double(id % 5) AS label", "int(id % 4) AS fold")
+    assert rows.approxQuantile("a", [0.5], 1e-3) == [1.0]
+    preset = Preset("gbt", {"maxIter": [1], "maxDepth": [1]}, folds=4)
+    search = grid_search(rows, feature_plan(FEATURES), preset, "fold")
+    assert search.model.stages[0].surrogateDF.first().asDict() == {"a": 0.0, "b": 1.0}

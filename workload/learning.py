@@ -434,30 +434,25 @@ _ITEM_FEATURES = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with gaps in two features; the label is the price in thousands.
-
-    The rebalance lets the trees train on all cores, also from a single file.
-    """
+    """Line items with gaps in two features; the label is the price in thousands."""
     key = F.col("l_orderkey") + F.col("l_linenumber")
-    rows = load(spark, sf_dir, "lineitem").select(
+    return load(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.when(key % 7 != 0, F.col("l_quantity")).alias("l_quantity"),
         F.when(key % 5 != 0, F.col("l_discount")).alias("l_discount"), "l_tax",
         F.col("l_linenumber").cast("double").alias("l_linenumber"),
         (F.col("l_extendedprice") / 1000).alias("label"))
-    return rows.hint("rebalance")
 
 
 def _search_items(spark: SparkSession, sf_dir: str, preset: Preset) -> DataFrame:
     data = with_fold(_items(spark, sf_dir), ["l_orderkey"], preset.fold_count)
-    with persisted(data):
-        score = "cv_rmse" if preset.train_ratio is None else "rmse"
-        return _held_against_constant(
-            data, cv_table(data, grid_search(data, feature_plan(_ITEM_FEATURES), preset, "fold"), score), score)
+    search = grid_search(data, feature_plan(_ITEM_FEATURES), preset, "fold", keep=True)
+    score = "cv_rmse" if preset.train_ratio is None else "rmse"
+    return _held_against_constant(data, cv_table(data, search, score), score)
 
 
 @query("SELECT count(*) AS rows, TRUE AS below_constant, TRUE AS consistent FROM lineitem")
 def lr_lineitem_metrics(spark, sf_dir):
-    data = _items(spark, sf_dir)
+    data = _items(spark, sf_dir).hint("rebalance")
     with persisted(data):
         model = Pipeline(stages=[*feature_plan(_ITEM_FEATURES).stages, baseline_linear()]).fit(data)
         row = regression_metrics(model.transform(data)).first()
